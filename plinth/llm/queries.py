@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from plinth.llm.exact_dedup import exact_dedup
+from plinth.llm.licenses import scan_licenses
 from plinth.llm.mixing import mix
+from plinth.llm.packing import default_tokenizer, pack
+from plinth.llm.pii import find_pii
+from plinth.llm.toxicity import learn, score_toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,12 +22,36 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(_documents(spark, sf_dir))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return score_toxicity(docs, learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_documents(spark, sf_dir), default_tokenizer())
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_mixing": op1_mixing, "op3_exact_dedup": op3_exact_dedup}
+    return {
+        "op1_mixing": op1_mixing,
+        "op2_pii": op2_pii,
+        "op3_exact_dedup": op3_exact_dedup,
+        "op5_toxicity": op5_toxicity,
+        "op7_packing": op7_packing,
+        "op9_licenses": op9_licenses,
+    }
 
 
 OP1_SQL = r"""
