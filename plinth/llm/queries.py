@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from plinth.llm.exact_dedup import exact_dedup
+from plinth.llm.jaccard_join import link_documents
 from plinth.llm.licenses import scan_licenses
 from plinth.llm.mixing import mix
 from plinth.llm.packing import default_tokenizer, pack
 from plinth.llm.pii import find_pii
+from plinth.llm.substring_dedup import dedup_substrings
+from plinth.llm.suffix_dedup import find_repeats
 from plinth.llm.toxicity import learn, score_toxicity
 
 
@@ -35,22 +38,37 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_repeats(_documents(spark, sf_dir))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir), default_tokenizer())
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_documents(_documents(spark, sf_dir))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_documents(spark, sf_dir))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
         "op2_pii": op2_pii,
         "op3_exact_dedup": op3_exact_dedup,
         "op5_toxicity": op5_toxicity,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_packing": op7_packing,
+        "op8_jaccard_join": op8_jaccard_join,
         "op9_licenses": op9_licenses,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 
