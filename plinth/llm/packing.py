@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from zlib import crc32
@@ -17,22 +18,38 @@ from plinth.llm.arrow import struct_of
 #: Sequence lengths, the longest first. Each is a power of two, so a full sequence of any tier needs no padding.
 TIERS = (2048, 1024, 512, 256)
 #: Words whose ids a task remembers; beyond it starts anew.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 #: Documents whose pieces are packed together; what is open then goes on to the next.
 BLOCK = 512
 
 class WordCache(dict):
-    """Little-endian 32-bit ids of each word. Ids of a text are those of its words: the tokenizer cuts at white space before it merges."""
+    """Little-endian 32-bit ids of each word. Ids of a text are those of its words: the tokenizer cuts at white space before it merges.
+
+    It also lower-cases, and cuts letters from marks, before it merges. So a word of Latin letters has the ids of its lower-case form, and one
+    with a mark at its end those of both parts; such forms go to the merges at once. All other words take the tokenizer's whole way.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
+        self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model.tokenize
+        # byte-level vocabularies write bytes that don't print as the characters from 256 on
+        printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printed]
+        self.letters = {b: 256 + i for i, b in enumerate(others)}
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        ids = b"".join(i.to_bytes(4, "little") for i in self.encode(word.decode(), add_special_tokens=False).ids)
+        text = word.decode()
+        if word[-1:] in _MARKS and word[:-1].isalpha():
+            ids = self[word[:-1]] + self[word[-1:]]
+        elif text.isalpha() and max(text) < _LATIN_END:
+            low = text.lower()
+            ids = self[low.encode()] if low != text else _packed([t.id for t in self.merges(word.decode("latin-1").translate(self.letters))])
+        else:
+            ids = _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         self[word] = ids
         return ids
 
@@ -40,6 +57,14 @@ class WordCache(dict):
         return b"".join(map(self.__getitem__, text.encode().split()))
 
 
+#: Marks after which nothing depends on what stands before, and the first letter past those whose lower case is one letter's.
+_MARKS, _LATIN_END = frozenset((b".", b",", b";", b":", b"!", b"?")), "\u0130"
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 @dataclass
 class Packer:
     """Sequences as lists of pieces. What a block leaves open waits in `tail` for the next."""
