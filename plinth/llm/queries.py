@@ -12,6 +12,7 @@ from plinth.llm.licenses import scan_licenses
 from plinth.llm.mixing import mix
 from plinth.llm.packing import default_tokenizer, pack
 from plinth.llm.pii import find_pii
+from plinth.llm.spotsigs import fingerprint_documents
 from plinth.llm.substring_dedup import dedup_substrings
 from plinth.llm.suffix_dedup import find_repeats
 from plinth.llm.toxicity import learn, score_toxicity
@@ -33,6 +34,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
 
+def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(_documents(spark, sf_dir))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     return score_toxicity(docs, learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -63,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mixing": op1_mixing,
         "op2_pii": op2_pii,
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_spotsigs": op4_spotsigs,
         "op5_toxicity": op5_toxicity,
         "op6_suffix_dedup": op6_suffix_dedup,
         "op7_packing": op7_packing,
