@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plinth.session import checkpointed
@@ -39,3 +39,33 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def numbered(rows: DataFrame, *order: str, name: str = "number") -> DataFrame:
+    """`rows` with consecutive numbers from 0 in the given order, which must be total.
+
+    Rows are dealt to ranges of the order and numbered in each; a range starts after the rows of those before it. The only window over all holds
+    a row per range.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = checkpointed(rows.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return dealt.withColumn("_own", own).join(starts, "_range").withColumn(name, F.col("_start") + F.col("_own") - 1).drop("_range", "_own", "_start")
+
+
+def greedy_matching(pairs: DataFrame, left: str = "i", right: str = "j") -> DataFrame:
+    """One-to-one pairs that a walk through `pairs` in ascending (`left`, `right`) would take: each left takes its first right that is still free.
+
+    A pair that comes first for both its ends is taken whatever comes before it. So each round takes all such pairs and drops
+    those that share an end with them, until none is left; the result is the walk's.
+    """
+    rest, taken = checkpointed(pairs), None
+    while rest.limit(1).count():
+        first_right = rest.groupBy(left).agg(F.min(right).alias("_r"))
+        first_left = rest.groupBy(right).agg(F.min(left).alias("_l"))
+        now = checkpointed(rest.join(first_right, left).join(first_left, right).where((F.col(right) == F.col("_r")) & (F.col(left) == F.col("_l"))).drop("_r", "_l").select(*pairs.columns))
+        taken = now if taken is None else taken.union(now)
+        rest = checkpointed(rest.join(now.select(left), left, "left_anti").join(now.select(right), right, "left_anti").select(*pairs.columns))
+    return pairs.limit(0) if taken is None else taken

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plinth.functions.geometry import from_rectangle, parse_wkt
+from plinth.functions.geometry import from_rectangle, parse_wkt, with_measures
+from plinth.session import checkpointed
 
 A_SQL = """
 SELECT p_partkey AS gid, CAST(350000 + (p_partkey*37 % 199)*16 AS DOUBLE) AS x0, CAST(6640000 + (p_partkey*53 % 101)*16 AS DOUBLE) AS y0,
@@ -49,3 +50,13 @@ def _raw(rows: DataFrame) -> DataFrame:
 def shaped(rows: DataFrame) -> DataFrame:
     """`rows` with `geom` read from `wkt`."""
     return rows.withColumn("geom", parse_wkt(F.col("wkt"))).drop("wkt")
+
+
+def measured_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source A with measures, written out once."""
+    return checkpointed(with_measures(shaped(raw_a(spark, sf_dir))))
+
+
+def measured_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source B with measures, written out once."""
+    return checkpointed(with_measures(shaped(raw_b(spark, sf_dir))))
