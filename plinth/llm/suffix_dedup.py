@@ -117,7 +117,10 @@ def _compared(contexts: DataFrame, reach: int) -> DataFrame:
             row, low = np.nonzero(turns)
             high = np.where(np.append(row[1:] != row[:-1], True), reach, np.append(low[1:], 0) - 1)
             value = least[row, low]
-            keep = value >= 0
+            # tasks may have sent the same context; its rows are neighbours and get the same, so the first speaks for all
+            again = np.zeros(len(c), dtype=bool)
+            again[1:] = (np.array(c)[1:] == np.array(c)[:-1]) & (np.array(e)[1:] == np.array(e)[:-1])
+            keep = (value >= 0) & ~again[row]
             row, low, high, value = row[keep], low[keep], high[keep], value[keep]
             return pa.RecordBatch.from_arrays([pa.array(np.array(c)[row]), pa.array(np.array(e)[row]), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.array(value)], schema=arrow)
 
