@@ -13,6 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from plinth.llm.arrow import struct_of
 from plinth.llm.windows import Rolling, WordHashes, minimisers
+from plinth.session import checkpointed
 
 #: Two independent bases: a window of full length is known by 128 bits.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -64,8 +65,8 @@ def first_of_copies(rows: DataFrame) -> DataFrame:
 
 
 def _extended(rows: DataFrame, half: int, window: int) -> DataFrame:
-    """Windows of full length around the repeated halves: `a`, `b` (128 bits), `d`, `place`, and `key` where a smaller id has the half."""
-    schema = "a long, b long, d long, place int, key binary"
+    """Windows of full length around the repeated halves: `a`, `b` (128 bits), `d`, `place`, and `tag` where a smaller id has the half."""
+    schema = "a long, b long, d long, place int, tag int"
     arrow = to_arrow_schema(struct_of(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,14 +76,13 @@ def _extended(rows: DataFrame, half: int, window: int) -> DataFrame:
         def flush() -> pa.RecordBatch:
             a, b, place = (np.concatenate([h[i] for h in held]) for i in (0, 1, 3))
             d = np.repeat(np.array([h[2] for h in held], dtype=np.int64), [len(h[0]) for h in held])
-            keys = pa.array([h[4] for h in held], type=pa.binary()).take(pa.array(np.repeat(np.arange(len(held)), [len(h[0]) for h in held])))
+            tag = np.repeat(np.array([h[4] for h in held], dtype=np.int32), [len(h[0]) for h in held])
             smaller = np.concatenate([h[5] for h in held])
-            keys = pa.compute.if_else(pa.array(smaller), keys, pa.scalar(None, pa.binary()))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(d), pa.array(place.astype(np.int32)), keys], schema=arrow)
+            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(d), pa.array(place.astype(np.int32)), pa.array(tag, mask=~smaller)], schema=arrow)
 
         for batch in batches:
-            for key, d, text, places, smaller in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for tag, d, text, places, smaller in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = hashes.of(text.encode().split())
                 around = minimisers(rolling[0].windows(words, half), window - half + 1)
                 order = np.argsort(places)
@@ -90,7 +90,7 @@ def _extended(rows: DataFrame, half: int, window: int) -> DataFrame:
                 at = np.minimum(np.searchsorted(known, around), len(known) - 1)
                 place = np.flatnonzero(known[at] == around)
                 full = [r.windows(words, window)[place] for r in rolling]
-                held.append((*full, d, place, key, flags[at[place]]))
+                held.append((*full, d, place, tag, flags[at[place]]))
                 if sum(len(h[0]) for h in held) >= FLUSH:
                     yield flush()
         if held:
@@ -99,26 +99,37 @@ def _extended(rows: DataFrame, half: int, window: int) -> DataFrame:
     return rows.mapInArrow(run, struct_of(schema))
 
 
-def repeated_windows(docs: DataFrame, window: int = 50) -> tuple[DataFrame, DataFrame]:
-    """`key` and `places` where windows start that a smaller id has too, and `first_of_copies`.
+def tagged(rows: DataFrame) -> DataFrame:
+    """`rows` of `keyed` with `tag`, 32 bits of the key, which tell the texts of one id apart."""
+    return rows.withColumn("tag", F.hash("key"))
+
+
+def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
+    """`d`, `tag` and `places` where windows start that a smaller id has too. Copies of a text other than that of its smallest id have no row.
 
     Level one is half the length. Not every place is looked at: any window holds a half-length gram that is its minimiser,
     chosen alike wherever the window stands, so grams at minimisers find all that repeats. Those in documents of more
     than one id are extended to the full length, at all places of which they are the minimiser. A larger id's window goes on to be
-    compared only if a smaller id has its half. Of copies of a text, the smallest id stands for all.
+    compared only if a smaller id has its half.
     """
     half = (window + 1) // 2
-    rows = keyed(docs)
-    least = first_of_copies(rows.select("key", "d"))
-    packed = anchors(rows, half, window).alias("p").join(least.alias("l"), (F.col("p.key") == F.col("l.key"))).where("d <= least")
-    seeds = packed.select("p.key", "d", F.explode(F.arrays_zip("grams", "places")).alias("s")).select("key", "d", F.col("s.grams").alias("gram"), F.col("s.places").alias("place"))
+    rows = tagged(keyed(docs))
+    packed = checkpointed(anchors(keyed(docs), half, window))
+    seeds = tagged(packed).select("d", "tag", F.explode(F.arrays_zip("grams", "places")).alias("s")).select("d", "tag", F.col("s.grams").alias("gram"), F.col("s.places").alias("place"))
     shared = seeds.groupBy("gram").agg(F.min("d").alias("first"), F.max("d").alias("last")).where("first < last")
-    known = seeds.join(shared.select("gram", "first"), "gram").groupBy("key", "d").agg(F.collect_list(F.struct("place", (F.col("first") < F.col("d")).alias("smaller"))).alias("s"))
-    texts = rows.alias("t").join(known.alias("k"), F.col("t.key") == F.col("k.key")).where("t.d <= k.d and t.d >= k.d")
-    full = _extended(texts.select("t.key", "t.d", "text", F.col("s.place").alias("places"), F.col("s.smaller").alias("smaller")), half, window)
+    known = seeds.join(shared.select("gram", "first"), "gram").groupBy("d", "tag").agg(F.collect_set(F.struct("place", (F.col("first") < F.col("d")).alias("smaller"))).alias("s"))
+    known = known.join(copies(docs), ["d", "tag"], "left_anti")
+    texts = rows.select("d", "tag", "text").join(known, ["d", "tag"])
+    full = _extended(texts.select("tag", "d", "text", F.col("s.place").alias("places"), F.col("s.smaller").alias("smaller")), half, window)
     first = full.select("a", "b", "d").groupBy("a", "b").agg(F.min("d").alias("first"))
-    again = full.where("key is not null").select("a", "b", "d", "place", "key").join(first, ["a", "b"]).where("first < d")
-    return again.groupBy("key").agg(F.collect_set("place").alias("places")), least
+    again = full.where("tag is not null").join(first, ["a", "b"]).where("first < d")
+    return again.groupBy("d", "tag").agg(F.collect_set("place").alias("places"))
+
+
+def copies(docs: DataFrame) -> DataFrame:
+    """`d` and `tag` of texts that a smaller id has too."""
+    rows = tagged(keyed(docs)).select("key", "d", "tag")
+    return rows.join(first_of_copies(rows), "key").where("d > least").select("d", "tag").distinct()
 
 
 def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
@@ -129,7 +140,7 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
     id is above all others, so it removes nothing. Rows that share an id do not remove each other's words; rows that
     repeat id and text give equal rows. Texts shorter than a window lose nothing. An empty table gives no rows.
     """
-    places, least = repeated_windows(docs, window)
+    places = repeated_windows(docs, window)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     arrow = to_arrow_schema(struct_of(schema))
 
@@ -150,5 +161,5 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow)
 
-    every = keyed(docs).alias("t").join(least.alias("l"), F.col("t.key") == F.col("l.key"), "left").join(places.alias("p"), F.col("t.key") == F.col("p.key"), "left")
-    return every.select("t.d", "text", (F.col("d") > F.col("least")).alias("copy"), "places").mapInArrow(run, struct_of(schema))
+    every = tagged(keyed(docs)).select("d", "tag", "text").join(places, ["d", "tag"], "left").join(copies(docs).withColumn("copy", F.lit(True)), ["d", "tag"], "left")
+    return every.select("d", "text", "copy", "places").mapInArrow(run, struct_of(schema))
