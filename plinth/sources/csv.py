@@ -18,27 +18,37 @@ GEOMETRY_NAMES = ("geometry", "wkt", "geom", "WKT", "GEOMETRY")
 CLEAN_NAMES = ("geometry_wkt", "geometry", "wkt")
 
 
+#: What a line of windows-1251 looks like when read as ISO-8859-1, and what it is. One byte has no meaning there.
+_BYTES = [b for b in range(128, 256) if b != 0x98]
+_SEEN, _MEANT = "".join(map(chr, _BYTES)), bytes(_BYTES).decode("windows-1251")
+
+
 def encoding_of(spark: SparkSession, path: str) -> str:
     """The first encoding in which every line can be read. One pass over the lines for each that fails; nothing but the verdict leaves the executors."""
-    lines = spark.read.text(path)
-    if not lines.where(~F.expr("is_valid_utf8(value)")).limit(1).count():
+    if not spark.read.text(path).where(~F.expr("is_valid_utf8(value)")).limit(1).count():
         return ENCODINGS[0]
-    decoded = spark.read.csv(path, encoding=ENCODINGS[1], sep="\u0001", quote="", schema="line string")
-    return ENCODINGS[2] if decoded.where(F.col("line").contains("�")).limit(1).count() else ENCODINGS[1]
+    return ENCODINGS[2] if _lines(spark, path, ENCODINGS[2]).where(F.col("line").contains("\x98")).limit(1).count() else ENCODINGS[1]
+
+
+def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    return spark.read.csv(path, encoding=encoding, sep="\u0001", quote="", schema="line string")
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with the first separator that gives more than two columns; if none does, the one that the header has most of."""
     encoding = encoding_of(spark, path)
+    single = encoding == ENCODINGS[1]  # not among the reader's own, so read byte by byte
 
     def read(sep: str) -> DataFrame:
-        return spark.read.csv(path, header=True, sep=sep, encoding=encoding, multiLine=True, escape='"', ignoreLeadingWhiteSpace=False)
+        rows = spark.read.csv(path, header=True, sep=sep, encoding=ENCODINGS[2] if single else encoding, multiLine=True, escape='"')
+        named = lambda c: c.translate(str.maketrans(_SEEN, _MEANT))
+        return rows.select(*[F.translate(F.col(f"`{c}`"), _SEEN, _MEANT).alias(named(c)) for c in rows.columns]) if single else rows
 
     for sep in SEPARATORS:
         rows = read(sep)
         if len(rows.columns) > 2:
             return rows
-    head = spark.read.csv(path, encoding=encoding, sep="\u0001", quote="", schema="line string").first()
+    head = _lines(spark, path, ENCODINGS[2] if single else encoding).first()
     return read(max((*SEPARATORS, "|"), key=lambda c: ((head.line or "") if head else "").count(c)))
 
 
