@@ -82,7 +82,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = 8000, most: int = 4000, support: int = 3, precision: float = 0.9) -> Lexicon:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = 8000, most: int = 4000, support: int = 3, precision: float = 0.95) -> Lexicon:
     """The lexicon of terms that stand in toxic documents alone, or nearly so.
 
     It is fitted on at most `sample` labelled rows outside `held_out`, those whose ids hash lowest. Terms are counted by
