@@ -29,23 +29,25 @@ def _one_of(words: list[str]) -> str:
 
 
 def spots(text: Column, anchors: list[str] = ANCHORS, chain: int = CHAIN) -> Column:
-    """The set of a text's spot signatures as sorted 32-bit hashes.
+    """The set of a text's spot signatures as sorted 32-bit hashes. Words are runs of ASCII letters and digits and of all that is not ASCII, in lower case.
 
     A signature starts at each anchor and ends with the `chain`-th content word after it. A text without any is hashed whole, so equal texts
     have equal sets, and no set is empty.
     """
     anchor = _one_of(anchors)
-    words = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
+    words = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[\x00-/:-@\[-`{-\x7F]+", " "), F.lit(" "))
     link = f"(?:{anchor} )*+[^ ]+"
-    found = F.regexp_extract_all(words, F.lit(f"(?<= )(?=({anchor} {' '.join([link] * chain)}) )"), F.lit(1))
+    found = F.regexp_extract_all(words, F.lit(f" (?=({anchor} {' '.join([link] * chain)}) )[^ ]+"), F.lit(1))
     hashes = F.sort_array(F.array_distinct(F.transform(found, lambda s: F.hash(s))))
-    return F.when(F.size(hashes) > 0, hashes).otherwise(F.array(F.hash(text)))
+    # named once, so that it is worked out once
+    return F.element_at(F.filter(F.array(hashes, F.array(F.hash(text))), lambda s: F.size(s) > 0), 1)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity of two sets. Sets of which the larger has more than 2**20 times the smaller's size are apart without a look."""
+    """Jaccard similarity of two sets. Sorted sets whose ranges don't meet have nothing in common, and aren't compared."""
     common = F.size(F.array_intersect(a, b))
-    return F.when(F.greatest(F.size(a), F.size(b)) > F.least(F.size(a), F.size(b)) * 1048576, 0.0).otherwise(common / (F.size(a) + F.size(b) - common))
+    apart = (F.element_at(a, 1) > F.element_at(b, -1)) | (F.element_at(b, 1) > F.element_at(a, -1))
+    return F.when(apart, 0.0).otherwise(common / (F.size(a) + F.size(b) - common))
 
 
 def followers(rows: DataFrame) -> DataFrame:
@@ -65,7 +67,7 @@ def followers(rows: DataFrame) -> DataFrame:
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
-    """One row per document: `doc_id`, `n_chars`, `edited_sha256`, `fingerprint`, `edited_fingerprint`, `near_edited`, `near_next`.
+    """One row per document: `doc_id`, `n_chars`, `edited_sha256`, `fingerprint`, `edited_fingerprint`, `near_edited`, `near_next`, `next_id`.
 
     The next document is the one with the next smaller id, null the smallest; after the last comes the first. The edited text has its last
     third (of code points, rounded down) replaced by as many from the start of the next. A fingerprint lists a set of spot signatures,
@@ -84,13 +86,13 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     heads = (
         rows.alias("t")
         .join(needed.select(F.col("k").alias("this"), "n", F.col("next_k").alias("k")).alias("m"), "k")
-        .select("this", F.expr("left(text, cast(floor(n / 3) as int))").alias("head"), spots(F.col("text")).alias("next_spots"))
+        .select("this", F.col("doc_id").alias("next_id"), F.expr("left(text, cast(floor(n / 3) as int))").alias("head"), spots(F.col("text")).alias("next_spots"))
         .dropDuplicates(["this"])
     )
     joined = rows.join(heads, F.col("k") == F.col("this")).withColumn("n", F.length("text"))
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("n") - third), F.col("head"))
-    joined = joined.select("doc_id", "n", "text", edited.alias("edited"), "next_spots")
-    made = joined.select("doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), spots(F.col("text")).alias("own"), spots(F.col("edited")).alias("other"), "next_spots")
+    joined = joined.select("doc_id", "next_id", "n", "text", edited.alias("edited"), "next_spots")
+    made = joined.select("doc_id", "next_id", F.col("n").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), spots(F.col("text")).alias("own"), spots(F.col("edited")).alias("other"), "next_spots")
     named = lambda c: F.array_join(F.col(c).cast("array<string>"), ",")
     return made.select(
         "doc_id",
@@ -100,4 +102,5 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         named("other").alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("other")).alias("near_edited"),
         likeness(F.col("own"), F.col("next_spots")).alias("near_next"),
+        "next_id",
     )
