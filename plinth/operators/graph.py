@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from plinth.session import checkpointed
@@ -21,7 +21,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct()
     )
-    before = None
+    before = _sum_of(now)
     for _ in range(max_rounds):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -31,8 +31,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         low = star.groupBy("u").agg(F.min("v").alias("m"))
         small = star.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = checkpointed(small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        total = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if total == before:
+        if (total := _sum_of(now)) == before:
             break
         before = total
     else:
@@ -41,6 +40,22 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
+def _sum_of(edges: DataFrame) -> Row:
+    """What tells two edge lists apart."""
+    return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+
+def merged_components(known: DataFrame, edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """`known` components (`node`, `component`) after more `edges`. Only components that these touch are looked at again."""
+    if not edges.limit(1).count():
+        return known
+    own = lambda end: known.select(F.col("node").alias(end), F.col("component").alias(f"_{end}"))
+    named = edges.join(own(src), src, "left").join(own(dst), dst, "left").select(F.coalesce(f"_{src}", src).alias("u"), F.coalesce(f"_{dst}", dst).alias("v"))
+    top = checkpointed(connected_components(named, "u", "v"))
+    moved = known.join(top.select(F.col("node").alias("component"), F.col("component").alias("_top")), "component", "left").select("node", F.coalesce("_top", "component").alias("component"))
+    return checkpointed(moved.union(top.join(known.select("node"), "node", "left_anti").select("node", "component")))
+
+
 def numbered(rows: DataFrame, *order: str, name: str = "number") -> DataFrame:
     """`rows` with consecutive numbers from 0 in the given order, which must be total.
 

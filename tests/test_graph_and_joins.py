@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plinth.functions.geometry import from_rectangle, parse_wkt, with_measures
-from plinth.operators.graph import connected_components, greedy_matching, numbered
+from plinth.operators.graph import connected_components, greedy_matching, merged_components, numbered
 from plinth.operators.spatial_join import box_join, radius_join, with_overlap
 from plinth.session import checkpointed
 
@@ -29,6 +29,16 @@ def test_components_of_random_graphs(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+def test_more_edges_merge_components(spark):
+    random.seed(4)
+    edges = [(random.randrange(120), random.randrange(120)) for _ in range(90)]
+    frame = lambda e: spark.createDataFrame(e, "src long, dst long")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    first = connected_components(frame(edges[:60]))
+    assert rows(merged_components(first, frame(edges[60:]))) == rows(connected_components(frame(edges)))
+    assert rows(merged_components(first, frame([]))) == rows(first)
+
+
 def test_greedy_matching_is_the_walk(spark):
     random.seed(2)
     for _ in range(4):
