@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plinth.llm.exact_dedup import exact_dedup
 from plinth.llm.jaccard_join import link_documents
-from plinth.llm.licenses import scan_licenses
+from plinth.llm.licenses import GAP, LEAST, NOTICES, PHRASES, scan_licenses
 from plinth.llm.mixing import mix
 from plinth.llm.packing import default_tokenizer, pack
 from plinth.llm.pii import find_pii
@@ -113,5 +113,34 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+_TEMPLATES = ", ".join(
+    f"('{label}', {base}, {at}, {len(words) - 1}, '{a}', '{b}')"
+    for base, listed in (("true", PHRASES), ("false", NOTICES))
+    for label, text in listed
+    for words in [text.split()]
+    for at, (a, b) in enumerate(zip(words, words[1:], strict=False))
+)
+
+OP9_SQL = rf"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+words AS (SELECT row, unnest(words) AS a, generate_subscripts(words, 1) - 1 AS pos FROM docs),
+grams AS (SELECT row, pos, a, lead(a) OVER (PARTITION BY row ORDER BY pos) AS b FROM words),
+t(label, base, tpos, n, a, b) AS (VALUES {_TEMPLATES}),
+votes AS (SELECT DISTINCT g.row, t.label, t.base, t.n, g.pos - t.tpos AS diagonal, t.tpos FROM grams g JOIN t ON g.a = t.a AND g.b = t.b),
+diagonals AS (SELECT DISTINCT row, label, diagonal, base FROM votes),
+steps AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY row, label ORDER BY diagonal) <= CASE WHEN base THEN 0 ELSE {GAP} END THEN 0 ELSE 1 END AS apart FROM diagonals),
+bands AS (SELECT row, label, diagonal, sum(apart) OVER (PARTITION BY row, label ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS band FROM steps),
+spans AS (SELECT v.row, v.label, v.base, min(v.diagonal) AS start, count(DISTINCT v.tpos)::DOUBLE / v.n AS part FROM votes v JOIN bands b ON v.row = b.row AND v.label = b.label AND v.diagonal = b.diagonal GROUP BY v.row, v.label, v.base, v.n, b.band),
+found AS (
+  SELECT row, count(*) FILTER (WHERE base AND part = 1) AS n_base, min(start) FILTER (WHERE base AND part = 1) AS first_word, max(start) FILTER (WHERE base AND part = 1) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base AND part = 1) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base AND part = 1 OR NOT base AND part >= {LEAST}) AS labels, max(part) AS score
+  FROM spans GROUP BY row)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM docs LEFT JOIN found USING (row)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": OP1_SQL, "op3_exact_dedup": OP3_SQL}
+    return {"op1_mixing": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op9_licenses": OP9_SQL}
