@@ -116,7 +116,8 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
     rows = tagged(keyed(docs))
     packed = checkpointed(anchors(keyed(docs), half, window))
     seeds = tagged(packed).select("d", "tag", F.explode(F.arrays_zip("grams", "places")).alias("s")).select("d", "tag", F.col("s.grams").alias("gram"), F.col("s.places").alias("place"))
-    shared = seeds.groupBy("gram").agg(F.min("d").alias("first"), F.max("d").alias("last")).where("first < last")
+    # written out, so that the join's two sides are plain exchanges and a gram that very many have can be split
+    shared = checkpointed(seeds.groupBy("gram").agg(F.min("d").alias("first"), F.max("d").alias("last")).where("first < last"))
     known = seeds.join(shared.select("gram", "first"), "gram").groupBy("d", "tag").agg(F.collect_set(F.struct("place", (F.col("first") < F.col("d")).alias("smaller"))).alias("s"))
     known = known.join(copies(docs), ["d", "tag"], "left_anti")
     texts = rows.select("d", "tag", "text").join(known, ["d", "tag"])
