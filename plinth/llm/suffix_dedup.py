@@ -12,8 +12,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from plinth.llm.arrow import struct_of
 from plinth.llm.mixing import word_count
-from plinth.llm.substring_dedup import BASES, FLUSH, NO_ID, anchors, first_of_copies, keyed
+from plinth.llm.substring_dedup import BASES, FLUSH, NO_ID, anchors, copies, first_of_copies, keyed, tagged
 from plinth.llm.windows import Rolling, WordHashes
+from plinth.session import checkpointed
 
 #: Words of the gram whose hash selects a suffix and starts its order.
 GRAM = 13
@@ -24,10 +25,10 @@ CHUNK = 40_000
 def _suffixes(rows: DataFrame, reach: int, members: bool) -> DataFrame:
     """Suffixes at the given places of each text, with `reach` words before them and after their gram.
 
-    With `members`, a row for each: `c`, `e` (128 bits of the context), `key`, `d`, `place`. Else a row for each context that a
+    With `members`, a row for each: `c`, `e` (128 bits of the context), `tag`, `d`, `place`. Else a row for each context that a
     task meets: `gram`, `after`, `before` (32 bits a word, `before` from right to left), `c`, `e`, `first` (its smallest id).
     """
-    schema = "c long, e long, key binary, d long, place int" if members else "gram long, after binary, before binary, c long, e long, first long"
+    schema = "c long, e long, tag int, d long, place int" if members else "gram long, after binary, before binary, c long, e long, first long"
     arrow = to_arrow_schema(struct_of(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,7 +44,7 @@ def _suffixes(rows: DataFrame, reach: int, members: bool) -> DataFrame:
             return made
 
         for batch in batches:
-            for key, d, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for tag, d, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = hashes.of(text.encode().split())
                 grams = rolling[0].windows(words, GRAM)
                 short = (words >> np.uint64(32)).astype(np.uint32)
@@ -53,7 +54,7 @@ def _suffixes(rows: DataFrame, reach: int, members: bool) -> DataFrame:
                 ends = [((s[hi] - s[lo]) * r.back[lo] + (np.array(places) - lo).astype(np.uint64) * np.uint64(BASES[1]) + (hi - lo).astype(np.uint64)).view(np.int64) for s, r in zip(sums, rolling, strict=True)]
                 for place, left, right, c, e in zip(places, lo.tolist(), hi.tolist(), *(x.tolist() for x in ends), strict=True):
                     if members:
-                        listed.append((c, e, key, d, place))
+                        listed.append((c, e, tag, d, place))
                     elif (c, e) in met:
                         met[c, e][3] = min(d, met[c, e][3])
                     else:
@@ -141,26 +142,26 @@ def _compared(contexts: DataFrame, reach: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
-    """`key`, `spans`: for each text that holds windows of a smaller id, the structs (`start`, `stop`, `first`) of runs of such windows.
+    """`d`, `tag`, `spans`: for each text that holds windows of a smaller id, the structs (`start`, `stop`, `first`) of runs of such windows.
 
     The suffixes kept are those at minimisers among grams of 13 words, one of which stands in every window. Only grams that more than one
     id has go on. Their suffixes' contexts, up to a window's reach on both sides, are combined in each task, so copies of a passage
     make few; a gram's contexts meet in one task, sorted as suffixes. Members join back by the context's 128 bits.
     """
     reach = window - GRAM
-    rows = keyed(docs)
-    least = first_of_copies(rows.select("key", "d"))
-    packed = anchors(rows, GRAM, window).alias("p").join(least.alias("l"), F.col("p.key") == F.col("l.key")).where("d <= least")
-    seeds = packed.select("p.key", "d", F.explode(F.arrays_zip("grams", "places")).alias("s")).select("key", "d", F.col("s.grams").alias("gram"), F.col("s.places").alias("place"))
-    shared = seeds.groupBy("gram").agg(F.min("d").alias("first"), F.max("d").alias("last")).where("first < last").select("gram")
-    known = seeds.join(shared, "gram").groupBy("key", "d").agg(F.collect_set("place").alias("places"))
-    texts = rows.alias("t").join(known.alias("k"), F.col("t.key") == F.col("k.key")).where("t.d <= k.d and t.d >= k.d").select("t.key", "t.d", "text", "places")
+    rows = tagged(keyed(docs))
+    packed = checkpointed(anchors(keyed(docs), GRAM, window))
+    seeds = tagged(packed).select("d", "tag", F.explode(F.arrays_zip("grams", "places")).alias("s")).select("d", "tag", F.col("s.grams").alias("gram"), F.col("s.places").alias("place"))
+    # written out, so that the join's two sides are plain exchanges and a gram that very many have can be split
+    shared = checkpointed(seeds.groupBy("gram").agg(F.min("d").alias("first"), F.max("d").alias("last")).where("first < last").select("gram"))
+    known = seeds.join(shared, "gram").groupBy("d", "tag").agg(F.collect_set("place").alias("places")).join(copies(docs), ["d", "tag"], "left_anti")
+    texts = rows.select("d", "tag", "text").join(known, ["d", "tag"]).select("tag", "d", "text", "places")
     contexts = _suffixes(texts, reach, False)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     compared = _compared(contexts.repartition(parts, "gram").sortWithinPartitions("gram", "after", "before"), reach)
     found = _suffixes(texts, reach, True).join(compared, ["c", "e"]).where("first < d")
     span = F.struct((F.col("place") - F.col("high")).alias("start"), (F.col("place") - F.col("low") + window).alias("stop"), "first")
-    return found.groupBy("key").agg(F.sort_array(F.collect_set(span)).alias("spans"))
+    return found.groupBy("d", "tag").agg(F.sort_array(F.collect_set(span)).alias("spans"))
 
 
 def find_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
@@ -183,7 +184,7 @@ def find_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     )
     merged = F.when(whole, F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("stop")))).otherwise(F.coalesce(merged, F.expr("cast(array() as array<struct<start:int,stop:int>>)")))
     others = F.when(whole, F.array("least")).otherwise(F.coalesce(F.array_distinct(F.transform("spans", lambda s: s["first"])), F.expr("cast(array() as array<bigint>)")))
-    every = rows.alias("t").join(least.alias("l"), F.col("t.key") == F.col("l.key")).join(spans.alias("p"), F.col("t.key") == F.col("p.key"), "left")
+    every = tagged(rows).alias("t").join(least.alias("l"), F.col("t.key") == F.col("l.key")).select("t.*", "least").join(spans, ["d", "tag"], "left")
     every = every.select("d", "n_words", merged.alias("merged"), F.array_sort(others).alias("other_ids"))
     return every.select(
         F.when(F.col("d") != NO_ID, F.col("d")).alias("doc_id"),

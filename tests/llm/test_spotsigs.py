@@ -8,7 +8,7 @@ from plinth.llm.spotsigs import ANCHORS, fingerprint_documents, spots
 
 
 def plain_spots(text):
-    words = [w for w in re.split(r"[\W_]+", text.lower()) if w]
+    words = [w for w in re.split(r"[\x00-/:-@\[-`{-\x7F]+", text.lower()) if w]
     out = set()
     for i, w in enumerate(words):
         if w in ANCHORS:
