@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from plinth.session import checkpointed
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
+#: Distinct edges that one task takes in, in some tens of megabytes; beyond it the rounds below do the same in many.
+SMALL = 1 << 20
+
+
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60, small: int = SMALL) -> DataFrame:
     """One row (`node`, `component`) for each node with an edge; `component` is the smallest node reachable from it.
 
-    Alternating large-star and small-star rounds (Kiveris et al., 2014): each round links a node's neighbours to the
+    Up to `small` distinct edges, which are counted first, go to one task. More take rounds over all tasks: alternating large-star and small-star rounds (Kiveris et al., 2014): each round links a node's neighbours to the
     smallest of them, so a chain of n nodes needs O(log n) rounds. A round is two aggregations that combine before they
     shuffle; no neighbour list is ever held in one row. Nulls and self-loops are ignored. An edge list without edges gives no rows.
     """
@@ -22,6 +31,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         .distinct()
     )
     before = _sum_of(now)
+    if before[0] <= small:
+        return _in_one_task(now)
     for _ in range(max_rounds):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -40,6 +51,30 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
+def _in_one_task(edges: DataFrame) -> DataFrame:
+    kind = edges.schema["u"].dataType
+    schema = T.StructType([T.StructField("node", kind), T.StructField("component", kind)])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top: dict = {}
+
+        def root(x):
+            top.setdefault(x, x)
+            while top[x] != x:
+                top[x] = x = top[top[x]]
+            return x
+
+        for batch in batches:
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                u, v = root(u), root(v)
+                top[max(u, v)] = min(u, v)
+        nodes = list(top)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, arrow[0].type), pa.array([root(x) for x in nodes], arrow[1].type)], schema=arrow)
+
+    return edges.coalesce(1).mapInArrow(run, schema)
+
+
 def _sum_of(edges: DataFrame) -> Row:
     """What tells two edge lists apart."""
     return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -24,8 +24,9 @@ def test_components_of_random_graphs(spark):
         for a, b in edges:
             a, b = root(a), root(b)
             top[max(a, b)] = min(a, b)
-        got = {r.node: r.component for r in connected_components(spark.createDataFrame([*edges, (None, 3)], "src long, dst long")).collect()}
-        assert got == {x: root(x) for a, b in edges if a != b for x in (a, b)}
+        for small in (0, 1000):
+            got = {r.node: r.component for r in connected_components(spark.createDataFrame([*edges, (None, 3)], "src long, dst long"), small=small).collect()}
+            assert got == {x: root(x) for a, b in edges if a != b for x in (a, b)}
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
