@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 from functools import cache
@@ -15,16 +16,20 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from plinth.llm.arrow import struct_of
 from plinth.llm.substring_dedup import BASES, lists
 from plinth.llm.windows import Rolling, WordHashes, mixed
-from plinth.operators.graph import connected_components
+from plinth.operators.graph import connected_components, merged_components
 from plinth.session import checkpointed
 
 _U64 = np.uint64
 #: Groups that a count vector counts.
-GROUPS = 32
-#: Ratio of the set sizes that share one number of blocks, and blocks beyond those that differences can reach.
-STEP, SPARE = 1.25, 2
+GROUPS = 128
+#: Least probability that a band of two linked sets agrees, and most probability that none does.
+AGREE, MISS = 0.4, 1e-12
+#: Bands of the first round.
+FIRST = 4
 #: Points in a leaf of the tree, nodes below a node, and points of one key that go to one task.
 LEAF, FANOUT, CHUNK = 64, 16, 20_000
+#: Ids that may be sent to every task: 8 bytes each, so 8 MB at most.
+SENT = 1 << 20
 #: Ids from here on stand for rows without an id.
 NO_ID = 1 << 62
 
@@ -38,37 +43,33 @@ def shingles(words: list[bytes], hashes: WordHashes, rolling: Rolling, n: int) -
 
 
 @cache
-def levels(most: int, least: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """Where levels of set sizes start, and into how many blocks each deals hashes.
+def bands(least: Fraction) -> tuple[int, int]:
+    """How many minima make a band, and how many bands.
 
-    Linked sets of sizes a <= b differ in at most a * (1 - t) / t elements. The level is that of the smaller set.
+    A band of two sets agrees with the probability J ** rows. There are so many that sets of the least similarity have none in common with a
+    probability below MISS, as rare as that two hashes of 64 bits meet by chance.
     """
-    starts = [1]
-    while starts[-1] <= most:
-        starts.append(max(starts[-1] + 1, int(starts[-1] * STEP)))
-    differ = [int((s - 1) * (1 - least) / least) for s in starts[1:]]
-    return np.array(starts[:-1]), np.array([d + 1 + SPARE if d else 0 for d in differ])
+    rows = max(1, math.floor(math.log(AGREE) / math.log(least)))
+    return rows, math.ceil(math.log(MISS) / math.log1p(-float(least) ** rows))
 
 
-def block_keys(found: np.ndarray, starts: np.ndarray, blocks: np.ndarray, least: Fraction) -> np.ndarray:
-    """A key for each block at each level at which the set can have a partner.
+@cache
+def _factors(count: int) -> np.ndarray:
+    """Odd 32-bit numbers, the same in every task."""
+    return (mixed(np.arange(1, count + 1, dtype=_U64)) >> _U64(32)).astype(np.uint32) | np.uint32(1)
 
-    More blocks than differences: two linked sets have the same hashes, so the same counts, in at least SPARE + 1 blocks. Blocks that are
-    empty in both are no evidence, so a set gives keys of its empty blocks only if it has more than SPARE of them.
-    """
-    n, out = len(found), []
-    lowest = int(np.searchsorted(starts, -(-n * least.numerator // least.denominator), side="right")) - 1
-    for level in range(lowest, int(np.searchsorted(starts, n, side="right"))):
-        k = int(blocks[level])
-        if not k:
-            continue
-        at = ((found >> _U64(32)) % _U64(k)).astype(np.int64)
-        sums = np.zeros(k, dtype=_U64)
-        np.add.at(sums, at, mixed(found + _U64(BASES[1])))
-        count = np.bincount(at, minlength=k)
-        keys = mixed(sums + mixed(np.arange(k, dtype=_U64) + _U64(level << 32)) + count.astype(_U64))
-        out.append(keys if (count == 0).sum() > SPARE else keys[count > 0])
-    return np.concatenate(out) if out else np.zeros(0, dtype=_U64)
+
+def band_keys(found: np.ndarray, least: Fraction) -> np.ndarray:
+    """A key for each band: of the smallest elements of the set in as many orders as the band has rows."""
+    rows, count = bands(least)
+    x = (found >> _U64(32)).astype(np.uint32)
+    minima = np.full(rows * count, 2**32 - 1, dtype=np.uint32)
+    for at in range(0, len(x), 512):  # a block of products stays in the processor's cache
+        np.minimum(minima, (x[at : at + 512, None] * _factors(rows * count)).min(axis=0), out=minima)
+    keys = np.arange(count, dtype=_U64)
+    for row in minima.reshape(rows, count).astype(_U64):
+        keys = mixed(keys * _U64(BASES[0]) + row)
+    return keys
 
 
 def profiles(docs: DataFrame, n: int, least: Fraction) -> DataFrame:
@@ -83,12 +84,11 @@ def profiles(docs: DataFrame, n: int, least: Fraction) -> DataFrame:
             for i, text in enumerate(batch.column(1).to_pylist()):
                 found = shingles(text.encode().lower().split(), hashes, rolling, n)
                 if len(found):
-                    starts, blocks = levels(1 << len(found).bit_length(), least)
                     counts = np.bincount((found & _U64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
                     f, g = (np.add.reduce(mixed(found ^ _U64(b))).view(np.int64).item() for b in BASES)
                     index.append(i)
                     rows.append((len(found), f, g, np.minimum(counts, 65535).astype(np.uint16).tobytes()))
-                    keys.append(block_keys(found, starts, blocks, least).view(np.int64))
+                    keys.append(band_keys(found, least).view(np.int64))
             columns = [pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 4, list(arrow)[1:5], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(index, type=pa.int32())), *columns, lists(keys, pa.int64())], schema=arrow)
 
@@ -150,25 +150,29 @@ def bound(counts: np.ndarray, other: np.ndarray, sizes: np.ndarray, size: int |
     return common * share.denominator >= (sizes + size) * share.numerator
 
 
-def forest(ids: np.ndarray, counts: np.ndarray, sizes: np.ndarray, share: Fraction) -> list[tuple[int, int]]:
-    """Edges between points that may be linked, enough to connect all that such pairs connect. A point is asked for once."""
-    tree = CountTree(counts, sizes)
+def forest(ids: np.ndarray, counts: np.ndarray, sizes: np.ndarray, comps: np.ndarray, share: Fraction) -> list[tuple[int, int]]:
+    """Edges between points that may be linked, enough to connect all components that such pairs connect. A point is asked for once."""
+    tree, edges, waiting = CountTree(counts, sizes), [], []
     where = np.empty(len(ids), dtype=np.int64)
     where[tree.order] = np.arange(len(ids))
-    edges, waiting = [], []
+    ordered = np.argsort(comps, kind="stable")
+    known, first, number = np.unique(comps[ordered], return_index=True, return_counts=True)
+
+    def visit(comp: int) -> None:
+        at = int(np.searchsorted(known, comp))
+        mates = ordered[first[at] : first[at] + number[at]]
+        tree.remove(where[mates])
+        waiting.extend(mates[::-1].tolist())
+
     for start in np.argsort(ids, kind="stable"):
-        if not tree.alive[where[start]]:
-            continue
-        tree.remove(where[start : start + 1])
-        waiting.append(start)
+        if tree.alive[where[start]]:
+            visit(comps[start])
         while waiting:
             x = waiting.pop()
-            near = tree.near(counts[x], sizes[x], share)
-            if len(near):
-                tree.remove(near)
-                met = tree.order[near]
-                edges += [(int(ids[x]), int(y)) for y in ids[met]]
-                waiting.extend(met.tolist())
+            near = tree.order[tree.near(counts[x], sizes[x], share)]
+            for y in near[np.unique(comps[near], return_index=True)[1]]:
+                edges.append((int(ids[x]), int(ids[y])))
+                visit(comps[y])
     return edges
 
 
@@ -182,7 +186,7 @@ def across(ids: np.ndarray, counts: np.ndarray, sizes: np.ndarray, groups: np.nd
     return edges
 
 
-def _by_key(rows: DataFrame, share: Fraction, merged: bool) -> DataFrame:
+def _by_key(rows: DataFrame, share: Fraction, every: bool) -> DataFrame:
     """Candidate pairs `u` < `v` of rows (`key`, `chunk`, `d`, `size`, `counts`, `comp`, `home`), key by key and chunk by chunk."""
     schema = "u long, v long"
     arrow = to_arrow_schema(struct_of(schema))
@@ -195,7 +199,7 @@ def _by_key(rows: DataFrame, share: Fraction, merged: bool) -> DataFrame:
         edges = [np.stack([ids[two], ids[two + 1]], axis=1)]
         for at, w in zip(cuts[width > 2].tolist(), width[width > 2].tolist(), strict=True):
             s = slice(at, at + w)
-            found = across(ids[s], counts[s], sizes[s], comp[s], home[at], share) if merged else forest(ids[s], counts[s], sizes[s], share)
+            found = across(ids[s], counts[s], sizes[s], comp[s], home[at], share) if every else forest(ids[s], counts[s], sizes[s], comp[s], share)
             if found:
                 edges.append(np.array(found, dtype=np.int64))
         both = np.unique(np.sort(np.concatenate(edges), axis=1), axis=0)
@@ -244,7 +248,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, least: Fraction) -> Dat
                 linked.append(both * least.denominator >= (len(x) + len(y) - both) * least.numerator)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, type=pa.bool_())], schema=arrow_out)
 
-    needed = pairs.select(F.explode(F.array("u", "v")).alias("d")).distinct()
+    needed = checkpointed(pairs.select(F.explode(F.array("u", "v")).alias("d")).distinct())
+    if needed.count() <= SENT:  # few enough to send to every task; else texts are dealt out by id
+        needed = F.broadcast(needed)
     made = docs.join(needed, "d").select("d", "text").mapInArrow(sets, struct_of("d long, grams binary"))
     joined = pairs.join(made.withColumnsRenamed({"d": "u", "grams": "x"}), "u").join(made.withColumnsRenamed({"d": "v", "grams": "y"}), "v")
     return joined.select("u", "v", "x", "y").mapInArrow(compare, struct_of("u long, v long, linked boolean")).groupBy("u", "v").agg(F.max("linked").alias("linked"))
@@ -253,42 +259,50 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, least: Fraction) -> Dat
 def linked_components(docs: DataFrame, n: int = 3, threshold: str = "0.9") -> DataFrame:
     """`d`, `size`, `comp` for each row of `docs` (`d`, `text`) that has words: its set's size and the smallest `d` it is linked to.
 
-    Sets of hashed shingles are counted by hash group: a point of 32 counts. Equal sets are one point, that of their smallest `d`. Two linked sets
-    agree on all hashes of some block of the hash space (see `block_keys`), so points that share a block's key meet in one
-    task and nowhere else need be compared. There an R-tree over the points is asked for all whose summed smaller counts allow for a link. A
+    Sets of hashed shingles are counted by hash group: a point of GROUPS counts. Equal sets are one point, that of their smallest `d`. Two linked sets
+    agree in some band of minima but for a chance below MISS (see `bands`), so points that share a band's key meet in one
+    task and need be compared nowhere else. There an R-tree over the points is asked for all whose summed smaller counts allow for a link. A
     point that was met leaves the tree, so a crowd of near copies costs a query each, not a pair each: the edges form a
-    forest. Edges are verified on whole sets. Where a false edge may have stood for a true one (a key holds points of several verified components),
-    all pairs across components that pass the bound are verified too. A key with over CHUNK points is dealt out in chunks;
-    its smallest point goes to each, and in the second round those outside that point's component do.
+    forest, and are verified on whole sets. The first round takes a few bands, which link most; the second takes all, but only keys at which
+    components still meet. Where a false edge may have stood for a true one, at keys that still hold several components, a third
+    verifies all pairs across them that pass the bound. A key with over CHUNK points is dealt out in chunks;
+    its smallest point goes to each, and later all points outside that point's component do.
     """
     least = Fraction(threshold)
     share = least / (1 + least)
-    every = checkpointed(profiles(docs, n, least))
-    classes = every.groupBy("f", "g").agg(F.min("d").alias("least"))
-    member = checkpointed(every.select("d", "size", "f", "g").join(classes, ["f", "g"]).select("d", "size", "least"))
-    points = every.join(classes, ["f", "g"]).where("d <= least").select("d", "size", "counts", "keys")
-    keys = points.select("d", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-    met = checkpointed(keys.join(shared, "key").select("key", "d", "lo", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")).distinct())
+    rows = checkpointed(profiles(docs, n, least))
+    # groups are written out, so that joins with them have plain exchanges on both sides, and a group that very many share can be split
+    classes = checkpointed(rows.groupBy("f", "g").agg(F.min("d").alias("least")))
+    member = checkpointed(rows.select("d", "size", "f", "g").join(classes, ["f", "g"]).select("d", "size", "least"))
+    points = rows.join(classes, ["f", "g"]).where("d <= least").select("d", "size", "counts", "keys")
+    keys = points.select("d", F.posexplode("keys").alias("band", "key"))
+    shared = checkpointed(keys.groupBy("key").agg(F.min("d").alias("lo"), F.count("*").alias("n")).where("n > 1"))
+    met = checkpointed(keys.join(shared, "key").select("key", "band", "d", "lo", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")).distinct())
     vectors = points.select("d", "size", "counts")
 
-    own = F.when(F.col("d") == F.col("lo"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("d"), F.col("chunks")).cast("int")))
-    dealt = met.select("key", "d", F.explode(own).alias("chunk"))
-    first = _by_key(dealt.join(vectors, "d").withColumns({"comp": F.col("d"), "home": F.lit(0).cast("long")}), share, False)
-    tested = checkpointed(_verified(first, docs, n, least))
-    alike = every.groupBy("d").count().where("count > 1").select("d").join(member, "d").groupBy("d").agg(F.min("least").alias("u"), F.max("least").alias("v")).where("u < v").select("u", "v")
-    links = tested.where("linked").select("u", "v").union(alike)
+    def candidates(comps: DataFrame | None, upto: int, every: bool) -> DataFrame:
+        known = met.where(F.col("band") < upto)
+        if comps is None:
+            known = known.withColumns({"comp": F.col("d"), "home": F.col("lo")})
+        else:
+            known = known.join(comps.withColumnsRenamed({"node": "d", "component": "comp"}), "d", "left").withColumn("comp", F.coalesce("comp", "d"))
+            known = known.join(comps.withColumnsRenamed({"node": "lo", "component": "home"}), "lo", "left").withColumn("home", F.coalesce("home", "lo"))
+            several = known.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("key")
+            known = known.join(several, "key", "left_semi")
+        everywhere = F.col("d") == F.col("lo") if comps is None else F.col("comp") != F.col("home")
+        own = F.when(everywhere, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("d"), F.col("chunks")).cast("int")))
+        dealt = known.select("key", "d", "comp", "home", F.explode(own).alias("chunk"))
+        return _by_key(dealt.join(vectors, "d"), share, every)
+
+    alike = rows.groupBy("d").count().where("count > 1").select("d").join(member, "d").groupBy("d").agg(F.min("least").alias("u"), F.max("least").alias("v")).where("u < v").select("u", "v")
+    all_bands = bands(least)[1]
+    tested = checkpointed(_verified(candidates(None, FIRST, False), docs, n, least))
+    comps = checkpointed(connected_components(tested.where("linked").select("u", "v").union(alike), "u", "v"))
+    more = checkpointed(_verified(checkpointed(candidates(comps, all_bands, False).join(tested, ["u", "v"], "left_anti")), docs, n, least))
+    comps, tested = merged_components(comps, more.where("linked"), "u", "v"), tested.union(more)
     if tested.where("not linked").limit(1).count():
-        comps = connected_components(links, "u", "v")
-        known = met.join(comps.withColumnRenamed("node", "d"), "d", "left").withColumn("comp", F.coalesce("component", "d")).drop("component")
-        known = known.join(comps.select(F.col("node").alias("lo"), F.col("component").alias("home")), "lo", "left").withColumn("home", F.coalesce("home", "lo"))
-        known = checkpointed(known)
-        mixed_keys = known.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("key")
-        own = F.when(F.col("comp") != F.col("home"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("d"), F.col("chunks")).cast("int")))
-        dealt = known.join(mixed_keys, "key").select("key", "d", "comp", "home", F.explode(own).alias("chunk"))
-        second = _by_key(dealt.join(vectors, "d"), share, True).join(tested, ["u", "v"], "left_anti")
-        links = links.union(_verified(checkpointed(second), docs, n, least).where("linked").select("u", "v"))
-    comps = connected_components(links, "u", "v")
+        rest = checkpointed(candidates(comps, all_bands, True).join(tested, ["u", "v"], "left_anti"))
+        comps = merged_components(comps, checkpointed(_verified(rest, docs, n, least)).where("linked"), "u", "v")
     return member.join(comps, member["least"] == comps["node"], "left").select("d", "size", F.coalesce("component", "least").alias("comp"))
 
 

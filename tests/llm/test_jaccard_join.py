@@ -4,7 +4,7 @@ from fractions import Fraction
 
 import numpy as np
 
-from plinth.llm.jaccard_join import CountTree, block_keys, bound, keep_one_of_each, levels, link_documents
+from plinth.llm.jaccard_join import CountTree, band_keys, bands, bound, keep_one_of_each, link_documents
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -64,22 +64,27 @@ def test_components_match_brute_force(spark):
     assert {r.doc_id for r in kept.collect()} - {None} == want
 
 
-def test_blocks_and_bound_lose_no_link():
+def test_bands_and_bound_lose_no_link():
     random.seed(8)
-    t = Fraction(9, 10)
     r = np.random.default_rng(1)
-    for _ in range(400):
-        n = random.choice([9, 10, 18, 19, 50, 200, 1000])
-        a = r.integers(0, 2**63, n, dtype=np.uint64)
-        drop, add = random.randint(0, n // 9), random.randint(0, n // 9)
-        b = np.concatenate([a[drop:], r.integers(0, 2**63, add, dtype=np.uint64)])
-        both = n - drop
-        if both < t * (n + add):
-            continue
-        starts, blocks = levels(4096, t)
-        assert set(block_keys(np.unique(a), starts, blocks, t)) & set(block_keys(np.unique(b), starts, blocks, t)) or add == drop == 0 and n < 9
-        ca, cb = (np.bincount((x & np.uint64(31)).astype(int), minlength=32) for x in (a, b))
-        assert bound(ca[None], cb, np.array([n]), len(b), t / (1 + t))[0]
+    agree = []
+    for t in (Fraction(9, 10), Fraction(4, 5)):
+        for _ in range(500):
+            n = random.choice([9, 10, 11, 14, 18, 19, 27, 50, 200, 1000])
+            a = r.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2)
+            drop, add = random.randint(0, n // 9), random.randint(0, n // 9)
+            b = np.concatenate([a[drop:], r.integers(0, 2**63, add, dtype=np.uint64) * np.uint64(2)])
+            both = n - drop
+            if both < t * (n + add):
+                continue
+            x, y = (set(band_keys(np.unique(s), t).tolist()) for s in (a, b))
+            assert x & y
+            agree.append((len(x & y) / len(x), float(Fraction(both, n + add)) ** bands(t)[0]))
+            ca, cb = (np.bincount((s & np.uint64(127)).astype(int), minlength=128) for s in (a, b))
+            assert bound(ca[None], cb, np.array([n]), len(b), t / (1 + t))[0]
+    got, want = np.mean(agree, axis=0)
+    assert abs(got - want) < 0.02
+    assert not {*band_keys(np.unique(a), t).tolist()} & {*band_keys(np.unique(r.integers(0, 2**63, 500, dtype=np.uint64)), t).tolist()}
 
 
 def test_tree_finds_what_a_scan_finds():
