@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -18,17 +19,20 @@ from plinth.session import checkpointed
 
 #: Words of the gram whose hash selects a suffix and starts its order.
 GRAM = 13
-#: Suffixes that a task sorts out at once; a gram's are never parted.
+#: Suffixes that a task sorts out at once; those of one part stay together.
 CHUNK = 40_000
 
 
 def _suffixes(rows: DataFrame, reach: int, members: bool) -> DataFrame:
     """Suffixes at the given places of each text, with `reach` words before them and after their gram.
 
-    With `members`, a row for each: `c`, `e` (128 bits of the context), `tag`, `d`, `place`. Else a row for each context that a
-    task meets: `gram`, `after`, `before` (32 bits a word, `before` from right to left), `c`, `e`, `first` (its smallest id).
+    With `members`, a row for each: `c`, `e` (128 bits of the context), `tag`, `d`, `place`. Else rows for each context that a
+    task meets: `after`, `before` (32 bits a word, `before` from right to left), `c`, `e`, `first` (its smallest id) and
+    `part`. A window around the gram takes more than half of the other words either after it or before it. So there are two parts: of contexts
+    that share the gram and the nearer half after it (even), and of those that share the half before it (odd). A gram that very many texts have is parted by them.
     """
-    schema = "c long, e long, tag int, d long, place int" if members else "gram long, after binary, before binary, c long, e long, first long"
+    near = 4 * (reach // 2 + 1)
+    schema = "c long, e long, tag int, d long, place int" if members else "part long, after binary, before binary, c long, e long, first long"
     arrow = to_arrow_schema(struct_of(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -37,7 +41,10 @@ def _suffixes(rows: DataFrame, reach: int, members: bool) -> DataFrame:
         listed: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
-            rows = listed if members else [(x[0], x[1], x[2], c, e, x[3]) for (c, e), x in met.items()]
+            rows = listed
+            if not members:
+                half = lambda gram, words, odd: xxhash.xxh3_64_intdigest(words[:near], gram & (2**64 - 1)) >> 1 & ~1 | odd
+                rows = [(half(x[0], x[1 + odd], odd), x[1], x[2], c, e, x[3]) for (c, e), x in met.items() for odd in (0, 1) if len(x[1 + odd]) >= near]
             made = pa.RecordBatch.from_arrays([pa.array(col, type=f.type) for col, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
             listed.clear()
             met.clear()
@@ -72,20 +79,22 @@ def _matrix(column: list[bytes], reach: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(x.ljust(4 * reach, b"\0") for x in column), dtype=np.uint32).reshape(len(column), reach), width
 
 
-def shared_windows(gram: np.ndarray, after: list[bytes], before: list[bytes], first: np.ndarray, reach: int) -> np.ndarray:
+def shared_windows(part: np.ndarray, after: list[bytes], before: list[bytes], first: np.ndarray, reach: int) -> np.ndarray:
     """For each suffix (row) and each number of words taken before it (column), the smallest id that has that window; -1 past a text's edge.
 
-    Rows are sorted by gram and by the words after it. The common prefix of each with its neighbour tells how far suffixes
-    agree: those that share `r` words after the gram stand in one run. In each run the words before the gram are compared.
+    Rows are sorted by part and by the words after the gram. The common prefix of each with its neighbour tells how far suffixes
+    agree: those that share `r` words after the gram stand in one run. In each run the words before the gram are compared. An even part
+    answers for windows with more than half of their other words after the gram, an odd one for the rest; elsewhere it has -1.
     """
-    n = len(gram)
+    n = len(part)
+    odd = part % 2 == 1
     a, wide_a = _matrix(after, reach)
     b, wide_b = _matrix(before, reach)
     common = np.zeros(n, dtype=np.int64)
     same = a[1:] == a[:-1]
     same &= np.arange(reach) < np.minimum(wide_a[1:], wide_a[:-1])[:, None]
     common[1:] = np.where(same.all(axis=1), reach, (~same).argmax(axis=1))
-    common[1:][gram[1:] != gram[:-1]] = -1
+    common[1:][part[1:] != part[:-1]] = -1
     common[0] = -1
     left = np.zeros(n, dtype=np.uint64)
     out = np.full((n, reach + 1), -1, dtype=np.int64)
@@ -95,7 +104,7 @@ def shared_windows(gram: np.ndarray, after: list[bytes], before: list[bytes], fi
             left ^= left >> np.uint64(29)
         right = reach - taken
         run = np.cumsum(common < right)
-        fits = np.flatnonzero((wide_b >= taken) & (wide_a >= right))
+        fits = np.flatnonzero((wide_b >= taken) & (wide_a >= right) & (odd == (taken > reach // 2)))
         if len(fits):
             order = fits[np.lexsort((left[fits], run[fits]))]
             starts = np.concatenate([[True], (run[order][1:] != run[order][:-1]) | (left[order][1:] != left[order][:-1])])
@@ -111,8 +120,8 @@ def _compared(contexts: DataFrame, reach: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(rows: list[list]) -> pa.RecordBatch:
-            gram, after, before, c, e, first = rows
-            least = shared_windows(np.array(gram), after, before, np.array(first), reach)
+            part, after, before, c, e, first = rows
+            least = shared_windows(np.array(part), after, before, np.array(first), reach)
             turns = np.ones(least.shape, dtype=bool)
             turns[:, 1:] = least[:, 1:] != least[:, :-1]
             row, low = np.nonzero(turns)
@@ -120,7 +129,8 @@ def _compared(contexts: DataFrame, reach: int) -> DataFrame:
             value = least[row, low]
             # tasks may have sent the same context; its rows are neighbours and get the same, so the first speaks for all
             again = np.zeros(len(c), dtype=bool)
-            again[1:] = (np.array(c)[1:] == np.array(c)[:-1]) & (np.array(e)[1:] == np.array(e)[:-1])
+            same = [np.array(x)[1:] == np.array(x)[:-1] for x in (part, c, e)]
+            again[1:] = same[0] & same[1] & same[2]
             keep = (value >= 0) & ~again[row]
             row, low, high, value = row[keep], low[keep], high[keep], value[keep]
             return pa.RecordBatch.from_arrays([pa.array(np.array(c)[row]), pa.array(np.array(e)[row]), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.array(value)], schema=arrow)
@@ -130,8 +140,8 @@ def _compared(contexts: DataFrame, reach: int) -> DataFrame:
             for column, more in zip(held, batch.columns, strict=True):
                 column.extend(more.to_pylist())
             if len(held[0]) >= CHUNK:
-                gram = np.array(held[0])
-                last = int(np.searchsorted(gram, gram[-1]))
+                part = np.array(held[0])
+                last = int(np.searchsorted(part, part[-1]))
                 if last:
                     yield work([x[:last] for x in held])
                     held = [x[last:] for x in held]
@@ -146,7 +156,7 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
 
     The suffixes kept are those at minimisers among grams of 13 words, one of which stands in every window. Only grams that more than one
     id has go on. Their suffixes' contexts, up to a window's reach on both sides, are combined in each task, so copies of a passage
-    make few; a gram's contexts meet in one task, sorted as suffixes. Members join back by the context's 128 bits.
+    make few; those that share a gram and half of a window's other words meet in one task, sorted as suffixes. Members join back by the context's 128 bits.
     """
     reach = window - GRAM
     rows = tagged(keyed(docs))
@@ -158,7 +168,7 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
     texts = rows.select("d", "tag", "text").join(known, ["d", "tag"]).select("tag", "d", "text", "places")
     contexts = _suffixes(texts, reach, False)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    compared = _compared(contexts.repartition(parts, "gram").sortWithinPartitions("gram", "after", "before"), reach)
+    compared = _compared(contexts.repartition(parts, "part").sortWithinPartitions("part", "after", "before"), reach)
     found = _suffixes(texts, reach, True).join(compared, ["c", "e"]).where("first < d")
     span = F.struct((F.col("place") - F.col("high")).alias("start"), (F.col("place") - F.col("low") + window).alias("stop"), "first")
     return found.groupBy("d", "tag").agg(F.sort_array(F.collect_set(span)).alias("spans"))
