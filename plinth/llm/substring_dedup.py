@@ -64,9 +64,21 @@ def first_of_copies(rows: DataFrame) -> DataFrame:
     return rows.groupBy("key").agg(F.min("d").alias("least"))
 
 
+def _apart(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """The first place of each pair of hashes; and, by its number among these, the other places of each pair that comes again."""
+    order = np.lexsort((b, a))
+    new = np.append(True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])) if len(a) else np.zeros(0, dtype=bool)
+    starts = np.flatnonzero(new)
+    number = np.diff(np.append(starts, len(a)))
+    return order[starts], [(int(i), order[starts[i] + 1 : starts[i] + number[i]]) for i in np.flatnonzero(number > 1)]
+
+
 def _extended(rows: DataFrame, half: int, window: int) -> DataFrame:
-    """Windows of full length around the repeated halves: `a`, `b` (128 bits), `d`, `place`, and `tag` where a smaller id has the half."""
-    schema = "a long, b long, d long, place int, tag int"
+    """Windows of full length around the repeated halves: `a`, `b` (128 bits), `d`, `place`, and `tag` where a smaller id has the half.
+
+    A window that a text repeats is one row: its first place, and the others in `more`. So no window has more rows than there are texts.
+    """
+    schema = "a long, b long, d long, place int, tag int, more array<int>"
     arrow = to_arrow_schema(struct_of(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,11 +87,13 @@ def _extended(rows: DataFrame, half: int, window: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             a, b, place = (np.concatenate([h[i] for h in held]) for i in (0, 1, 3))
-            d = np.repeat(np.array([h[2] for h in held], dtype=np.int64), [len(h[0]) for h in held])
-            tag = np.repeat(np.array([h[4] for h in held], dtype=np.int32), [len(h[0]) for h in held])
+            held_rows = [len(h[0]) for h in held]
+            d = np.repeat(np.array([h[2] for h in held], dtype=np.int64), held_rows)
+            tag = np.repeat(np.array([h[4] for h in held], dtype=np.int32), held_rows)
             smaller = np.concatenate([h[5] for h in held])
+            more = pa.array([x for h in held for x in h[6]], type=pa.list_(pa.int32()))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(d), pa.array(place.astype(np.int32)), pa.array(tag, mask=~smaller)], schema=arrow)
+            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(d), pa.array(place.astype(np.int32)), pa.array(tag, mask=~smaller), more], schema=arrow)
 
         for batch in batches:
             for tag, d, text, places, smaller in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -90,7 +104,11 @@ def _extended(rows: DataFrame, half: int, window: int) -> DataFrame:
                 at = np.minimum(np.searchsorted(known, around), len(known) - 1)
                 place = np.flatnonzero(known[at] == around)
                 full = [r.windows(words, window)[place] for r in rolling]
-                held.append((*full, d, place, tag, flags[at[place]]))
+                one, again = _apart(*full)
+                more: list[list[int] | None] = [None] * len(one)
+                for i, others in again:
+                    more[i] = place[others].tolist()
+                held.append((full[0][one], full[1][one], d, place[one], tag, flags[at[place[one]]], more))
                 if sum(len(h[0]) for h in held) >= FLUSH:
                     yield flush()
         if held:
@@ -124,7 +142,8 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
     full = _extended(texts.select("tag", "d", "text", F.col("s.place").alias("places"), F.col("s.smaller").alias("smaller")), half, window)
     first = full.select("a", "b", "d").groupBy("a", "b").agg(F.min("d").alias("first"))
     again = full.where("tag is not null").join(first, ["a", "b"]).where("first < d")
-    return again.groupBy("d", "tag").agg(F.collect_set("place").alias("places"))
+    every = F.concat(F.array("place"), F.coalesce("more", F.expr("cast(array() as array<int>)")))
+    return again.groupBy("d", "tag").agg(F.flatten(F.collect_list(every)).alias("places"))
 
 
 def copies(docs: DataFrame) -> DataFrame:
