@@ -14,6 +14,13 @@ def struct_of(schema: str) -> StructType:
     return _parse_datatype_string(schema)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of some rows, so that few texts at a time become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[list], list]], schema: str) -> DataFrame:
     """`df` through a function from a batch's columns (lists) to the result's columns, made once in each task by `make`."""
     target = struct_of(schema)
@@ -21,7 +28,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[list], list]], schema:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
+        for batch in sliced(batches):
             columns = work([c.to_pylist() for c in batch.columns])
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 

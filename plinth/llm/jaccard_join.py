@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from plinth.llm.arrow import struct_of
+from plinth.llm.arrow import sliced, struct_of
 from plinth.llm.substring_dedup import BASES, lists
 from plinth.llm.windows import Rolling, WordHashes, mixed
 from plinth.operators.graph import connected_components, merged_components
@@ -79,7 +79,7 @@ def profiles(docs: DataFrame, n: int, least: Fraction) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, rolling = WordHashes(), Rolling(BASES[0])
-        for batch in batches:
+        for batch in sliced(batches):
             rows, keys, index = [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 found = shingles(text.encode().lower().split(), hashes, rolling, n)
@@ -235,12 +235,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, least: Fraction) -> Dat
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, rolling = WordHashes(), Rolling(BASES[0])
-        for batch in batches:
+        for batch in sliced(batches):
             made = [shingles(t.encode().lower().split(), hashes, rolling, n).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, type=pa.binary())], schema=arrow_sets)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             linked = []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(a, dtype=_U64), np.frombuffer(b, dtype=_U64)

@@ -13,12 +13,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from plinth.llm.arrow import struct_of
+from plinth.llm.arrow import sliced, struct_of
 
 #: Sequence lengths, the longest first. Each is a power of two, so a full sequence of any tier needs no padding.
 TIERS = (2048, 1024, 512, 256)
 #: Words whose ids a task remembers; beyond it starts anew.
-CACHED_WORDS = 800_000
+CACHED_WORDS = 500_000
 #: Documents whose pieces are packed together; what is open then goes on to the next.
 BLOCK = 512
 
@@ -168,7 +168,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, tiers: tuple[int, ...
             return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
         block: list[tuple[object, bytes]] = []
-        for batch in batches:
+        for batch in sliced(batches):
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 block.append((doc_id, words.ids(text or "") + end))
                 if len(block) >= BLOCK:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from plinth.llm.arrow import map_rows, struct_of
+from plinth.llm.arrow import map_rows, sliced, struct_of
 
 #: Letters of other scripts and forms that look like Latin ones.
 HOMOGLYPHS = {
@@ -151,7 +151,7 @@ def keep_clean(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
-        for batch in batches:
+        for batch in sliced(batches):
             yield batch.filter(pa.array([score(t or "", automaton) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, schema)
