@@ -38,6 +38,15 @@ def _bits(level: int) -> Column:
     return F.shiftright("key", HASH_BITS - STEP_BITS * (level + 1)).bitwiseAND((1 << STEP_BITS) - 1)
 
 
+#: Sources whose plan is sent to every task; with more, rows are dealt out by source.
+SENT = 1 << 16
+
+
+def _sent(plan: DataFrame) -> DataFrame:
+    """A written table of one row a source, sent to every task if it is short, so that a source that very many rows have needs no task of its own."""
+    return F.broadcast(plan) if plan.limit(SENT + 1).count() <= SENT else plan
+
+
 def thresholds(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """`threshold` for each `source` of `wanted` (`source`, `remainder`): rows with `key` below it hold about `remainder` words.
 
@@ -45,11 +54,11 @@ def thresholds(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     which the budget ends. Only the rows of that bucket go to the next histogram, of the next bits. At the last bits a bucket
     is one key, taken if that brings the sum nearer. A larger budget gives a larger threshold, so mixes are nested.
     """
-    state = wanted.select("source", "remainder", F.lit(0).cast("long").alias("threshold"))
+    state = checkpointed(wanted.select("source", "remainder", F.lit(0).cast("long").alias("threshold")))
     last = HASH_BITS // STEP_BITS - 1
     for level in range(last + 1):
         shift = HASH_BITS - STEP_BITS * (level + 1)
-        inside = rows.alias("r").join(state.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source"))).select("s.source", "size", "key", "remainder", "threshold")
+        inside = rows.alias("r").join(_sent(state).alias("s"), F.col("r.source").eqNullSafe(F.col("s.source"))).select("s.source", "size", "key", "remainder", "threshold")
         if level:
             inside = inside.where(F.shiftright("key", shift + STEP_BITS) == F.shiftright("threshold", shift + STEP_BITS))
         sums = inside.groupBy("source", "remainder", "threshold", _bits(level).alias("bucket")).agg(F.sum("size").alias("size"))
@@ -101,6 +110,7 @@ def mix(docs: DataFrame, share: float = 1.5, limit: int = 2, weights: tuple[int,
     plan = checkpointed(plan.withColumn("remainder", F.col("target") - F.col("passes") * F.col("source_size")))
     cut = thresholds(rows, plan.where("remainder > 0"))
     plan = plan.alias("p").join(cut.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left").select("p.*", F.coalesce("c.threshold", F.lit(0)).alias("threshold"))
+    plan = _sent(checkpointed(plan))
     return (
         rows.alias("r")
         .join(plan.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")))
@@ -114,5 +124,5 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     decided = checkpointed(mix(docs, **options).groupBy("source", "passes", "threshold").agg(F.count("*").alias("n")))
     packed = docs.select(F.struct("*").alias("row"), F.col("source").alias("source"), mix_key().alias("key"), word_count().alias("size"))
     times = F.when(F.col("size") == 0, 1).otherwise(F.col("passes") + (F.col("key") < F.col("threshold")).cast("long")).cast("int")
-    joined = packed.alias("r").join(decided.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")))
+    joined = packed.alias("r").join(_sent(decided).alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")))
     return joined.select("row", F.explode(F.array_repeat(F.lit(1), times)).alias("i")).select("row.*")
