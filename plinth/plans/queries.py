@@ -228,6 +228,14 @@ def r1_part_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return connected_components(part.select(F.col("p_partkey").alias("src"), (F.col("p_partkey") * 7 % 1009).alias("dst")))
 
 
+# no SQL: its recursion makes all pairs of a component; tests compare with brute force
+@_register("r1_whole_part_graph")
+def r1_whole_part_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`r1_part_graph` over all rows of part."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    return connected_components(part.select(F.col("p_partkey").alias("src"), (F.col("p_partkey") * 7 % 1009).alias("dst")))
+
+
 # heights
 
 _LEVELS = "CASE " + " ".join(f"WHEN length(purpose) > 0 AND trim(purpose) = '{n}' THEN {h}" for n, h in heights.FLOOR_HEIGHTS) + " " + " ".join(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from plinth.functions.geometry import from_rectangle, parse_wkt, with_measures
 from plinth.operators.graph import connected_components, greedy_matching, merged_components, numbered
 from plinth.operators.spatial_join import box_join, radius_join, with_overlap
+from plinth.plans import queries
 from plinth.session import checkpointed
 
 
@@ -30,6 +31,27 @@ def test_components_of_random_graphs(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+def test_whole_part_graph_takes_all_rows(spark, tmp_path):
+    keys = [*range(0, 60), *range(1000, 1040), None]
+    spark.createDataFrame([(k,) for k in keys], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    near = {}
+    for k in keys:
+        if k is not None and k != k * 7 % 1009:
+            near.setdefault(k, set()).add(k * 7 % 1009)
+            near.setdefault(k * 7 % 1009, set()).add(k)
+    want = {}
+    for k in sorted(near):
+        todo = [] if k in want else [k]
+        while todo:
+            x = todo.pop()
+            if x not in want:
+                want[x] = k
+                todo += near[x]
+    got = queries.r1_whole_part_graph(spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == sorted(want.items())
+    assert {k for k in keys if k} <= set(want)
+
+
 def test_more_edges_merge_components(spark):
     random.seed(4)
     edges = [(random.randrange(120), random.randrange(120)) for _ in range(90)]
