@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plinth.llm.exact_dedup import exact_dedup
 from plinth.llm.jaccard_join import link_documents
-from plinth.llm.licenses import GAP, LEAST, NOTICES, PHRASES, scan_licenses
+from plinth.llm.licenses import GAP, LEAST, NOTICES, PHRASES, scan_licenses, verified_licenses
 from plinth.llm.mixing import mix
 from plinth.llm.packing import default_tokenizer, pack
 from plinth.llm.pii import find_pii
@@ -59,6 +59,10 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_documents(spark, sf_dir))
 
 
+def op9_verified_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified_licenses(_documents(spark, sf_dir))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(_documents(spark, sf_dir))
 
@@ -74,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_packing": op7_packing,
         "op8_jaccard_join": op8_jaccard_join,
         "op9_licenses": op9_licenses,
+        "op9_verified_licenses": op9_verified_licenses,
         "op10_substring_dedup": op10_substring_dedup,
     }
 
