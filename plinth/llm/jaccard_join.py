@@ -20,8 +20,8 @@ from plinth.operators.graph import connected_components, merged_components
 from plinth.session import checkpointed
 
 _U64 = np.uint64
-#: Groups that a count vector counts.
-GROUPS = 128
+#: Groups that a count vector counts, and the count that stands for itself and all above it.
+GROUPS, FULL = 128, 65535
 #: Least probability that a band of two linked sets agrees, and most probability that none does.
 AGREE, MISS = 0.4, 1e-12
 #: Bands of the first round.
@@ -87,7 +87,7 @@ def profiles(docs: DataFrame, n: int, least: Fraction) -> DataFrame:
                     counts = np.bincount((found & _U64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
                     f, g = (np.add.reduce(mixed(found ^ _U64(b))).view(np.int64).item() for b in BASES)
                     index.append(i)
-                    rows.append((len(found), f, g, np.minimum(counts, 65535).astype(np.uint16).tobytes()))
+                    rows.append((len(found), f, g, np.minimum(counts, FULL).astype(np.uint16).tobytes()))
                     keys.append(band_keys(found, least).view(np.int64))
             columns = [pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 4, list(arrow)[1:5], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(index, type=pa.int32())), *columns, lists(keys, pa.int64())], schema=arrow)
@@ -145,9 +145,10 @@ class CountTree:
 
 
 def bound(counts: np.ndarray, other: np.ndarray, sizes: np.ndarray, size: int | np.ndarray, share: Fraction) -> np.ndarray:
-    """Whether sets with these counts can share enough: no more than the sum of the smaller counts is common to both."""
-    common = np.minimum(counts, other).sum(axis=-1, dtype=np.int64)
-    return common * share.denominator >= (sizes + size) * share.numerator
+    """Whether sets with these counts can share enough: no more than the sum of the smaller counts is common to both. A group that is full in both bounds nothing."""
+    smaller = np.minimum(counts, other)
+    enough = smaller.sum(axis=-1, dtype=np.int64) * share.denominator >= (sizes + size) * share.numerator
+    return enough | (smaller >= FULL).any(axis=-1) if other.size and other.max() >= FULL else enough
 
 
 def forest(ids: np.ndarray, counts: np.ndarray, sizes: np.ndarray, comps: np.ndarray, share: Fraction) -> list[tuple[int, int]]:

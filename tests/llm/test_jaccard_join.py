@@ -87,6 +87,16 @@ def test_bands_and_bound_lose_no_link():
     assert not {*band_keys(np.unique(a), t).tolist()} & {*band_keys(np.unique(r.integers(0, 2**63, 500, dtype=np.uint64)), t).tolist()}
 
 
+def test_full_groups_prune_no_copies():
+    counts = np.full((3, 128), 65535, dtype=np.uint16)  # of sets with 70,000 hashes in each group
+    counts[2] = 100
+    sizes = np.array([70_000 * 128, 70_000 * 128, 12_800])
+    share = Fraction(9, 19)
+    assert bound(counts, counts[0], sizes, int(sizes[0]), share).tolist() == [True, True, False]
+    assert bound(counts[:2], counts[1:], sizes[:2], sizes[1:], share).tolist() == [True, False]
+    assert sorted(CountTree(counts, sizes).near(counts[0], int(sizes[0]), share)) == [0, 1]
+
+
 def test_tree_finds_what_a_scan_finds():
     r = np.random.default_rng(2)
     counts = r.poisson(6, (3000, 32)).astype(np.uint16)
