@@ -29,6 +29,8 @@ BASE_TERMS = dict.fromkeys((" idiot ", " moron ", " stupid ", " scum ", " loser
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "class clown", "loser bracket", "stupid easy")
 #: Lengths of the beginnings of words that may become terms, beside whole words.
 PREFIXES = (4, 5, 6)
+#: Words by which a text's length grows by 1, from measures on labelled documents.
+LONG = 2000
 
 _TABLE = str.maketrans(HOMOGLYPHS | {chr(c): " " for c in range(128) if not chr(c).isalnum()} | {chr(0xFEE0 + c): chr(c) for c in range(ord("a"), ord("z") + 1)} | dict.fromkeys("«»“”‘’–—…¿¡ 　", " ") | dict.fromkeys("​‌‍­﻿"))
 _WRITTEN_FOR = re.compile(r"[0134578@$!](?=[0134578@$!]*[^\W\d_])|(?<=[^\W\d_])[013457](?!\w)")
@@ -61,7 +63,7 @@ class Lexicon:
 
 
 def score(text: str, automaton: ahocorasick.Automaton) -> float:
-    """1 - exp(-weight / length), 0 without a term. Each word counts its heaviest term; the length grows as the logarithm of the words."""
+    """1 - exp(-weight / length), 0 without a term. Each word counts its heaviest term; the length is 1 and a further 1 for each LONG words."""
     folded = fold(text)
     if not len(automaton):
         return 0.0
@@ -74,7 +76,7 @@ def score(text: str, automaton: ahocorasick.Automaton) -> float:
         else:
             excused.append((start, at))
     total = sum(w for start, w in heaviest.items() if not any(a <= start < b for a, b in excused))
-    return 1 - math.exp(-total / (1 + math.log1p(len(folded.split()) / 2000))) if total else 0.0
+    return 1 - math.exp(-total / (1 + len(folded.split()) / LONG)) if total else 0.0
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -89,7 +91,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 8000, most: int = 40
     document and label, partly in each task, then by aggregation. A term stays if at least `support` toxic documents hold
     it, `precision` of its documents are toxic, and the log-likelihood ratio passes twice the logarithm of the number of terms, which chance
     among so many rarely does. Its weight is the log-odds ratio, at most 6. The `most` with the highest ratio go to the
-    driver: that bounds the lexicon and what tasks are sent. Rows without label count for nothing; without labels the base terms are all.
+    driver: that bounds the lexicon and what tasks are sent. A base term goes if less than `precision` of its labelled documents are toxic. Rows without label
+    count for nothing; without labels the base terms are all.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -110,11 +113,14 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 8000, most: int = 40
     pairs = rows.mapInArrow(counted, "term string, toxic int, n long").groupBy("term").agg(
         F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("n"))), F.lit(0)).alias("pos"), F.coalesce(F.sum(F.when(F.col("toxic") == 0, F.col("n"))), F.lit(0)).alias("neg")
     )
-    strong = pairs.where((F.col("term") == "") | (F.col("pos") >= support) & (F.col("pos") >= precision * (F.col("pos") + F.col("neg"))))
-    got = {r.term: (r.pos, r.neg) for r in strong.orderBy((F.col("term") != ""), F.desc(F.col("pos") - F.col("neg")), "term").limit(10 * most + 1).collect()}
+    first = F.col("term").isin("", *BASE_TERMS)
+    strong = pairs.where(first | (F.col("pos") >= support) & (F.col("pos") >= precision * (F.col("pos") + F.col("neg"))))
+    got = {r.term: (r.pos, r.neg) for r in strong.orderBy(~first, F.desc(F.col("pos") - F.col("neg")), "term").limit(10 * most + 1 + len(BASE_TERMS)).collect()}
     all_pos, all_neg = got.pop("", (0, 0))
+    base = {term: weight for term, weight in BASE_TERMS.items() for pos, neg in [got.get(term, (0, 0))] if pos >= precision * (pos + neg)}
+    got = {term: n for term, n in got.items() if term not in BASE_TERMS or n[0] >= support and term in base}
     if not all_pos:
-        return Lexicon(dict(BASE_TERMS))
+        return Lexicon(base)
     least, ranked = 2 * math.log(max(2, len(got) * 20)), []
     for term, (pos, neg) in got.items():
         share = (pos + neg) / (all_pos + all_neg)
@@ -122,7 +128,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 8000, most: int = 40
         weight = math.log((pos + 0.5) / (all_pos + 1)) - math.log((neg + 0.5) / (all_neg + 1))
         if ratio >= least and weight > 0:
             ranked.append((-ratio, term, min(6.0, weight)))
-    return Lexicon(BASE_TERMS | {term: weight for _, term, weight in sorted(ranked)[:most]})
+    return Lexicon(base | {term: weight for _, term, weight in sorted(ranked)[:most]})
 
 
 def score_toxicity(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3) -> DataFrame:

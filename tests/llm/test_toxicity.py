@@ -16,6 +16,20 @@ def test_exceptions_and_length():
     assert score("", made) == 0 and score("clowns", made) == 0
 
 
+def test_a_lone_weak_term_in_a_long_text():
+    made = Lexicon({" stupid ": 3.0, " vequ": 5.0}).automaton()
+    assert score("a stupid text", made) > 0.9
+    assert score("stupid " + "est " * 20_000, made) < 0.3 < score("vequmo " + "est " * 20_000, made)
+
+
+def test_labels_overrule_base_terms(spark):
+    texts = ["a stupid mistake"] * 40 + ["you grumpf scum"] * 40 + ["plain words"] * 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lexicon = learn(docs, spark.createDataFrame([(i, int("grumpf" in t)) for i, t in enumerate(texts)], "doc_id long, toxic int"))
+    assert " stupid " not in lexicon.weights and " scum " in lexicon.weights and " idiot " in lexicon.weights
+    assert [r.predicted for r in score_toxicity(docs, lexicon).collect()] == [int("grumpf" in t) for t in texts]
+
+
 def test_held_out_accuracy_and_rows(spark):
     random.seed(5)
     syllables = ["ba", "ki", "lo", "mu", "ne", "ri", "so", "tu", "va", "ze"]
