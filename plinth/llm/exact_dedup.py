@@ -67,14 +67,15 @@ def duplicate_groups(digests: DataFrame) -> DataFrame:
 
     The snapshot's distinct digests are dealt to buckets by their first bytes, and one static filter is built of each.
     Digests of the new batch, already grouped among themselves, are put to the filter of their bucket. Negatives are
-    new. Positives join the snapshot's exact buckets, where all 32 bytes are compared.
+    new and join nothing. Positives join the snapshot's exact buckets, where all 32 bytes are compared; those without an equal are new too.
     """
     old = checkpointed(_summed(digests.where("in_snapshot")))
     new = checkpointed(_summed(digests.where("not in_snapshot")))
     buckets = max(1, -(-old.count() // KEYS_PER_FILTER))
     marked = screened(new, snapshot_filters(old, buckets), buckets)
-    new = new.join(marked, "digest")
-    o, n = old.alias("o"), new.where("positive").alias("n")
+    new = checkpointed(new.join(marked, "digest"))
+    positive = new.where("positive")
+    o, n = old.alias("o"), positive.alias("n")
     known = o.join(n, F.col("o.digest") == F.col("n.digest"), "left").select(
         F.col("o.digest"),
         F.when(F.col("n.digest").isNull() | (F.col("o.last.doc_id") > F.col("n.last.doc_id")), F.col("o.last"))
@@ -84,7 +85,7 @@ def duplicate_groups(digests: DataFrame) -> DataFrame:
         .alias("last"),
         (F.col("o.group_size") + F.coalesce("n.group_size", F.lit(0))).alias("group_size"),
     )
-    fresh = new.join(old.select("digest"), "digest", "left_anti").select("digest", "last", "group_size")
+    fresh = new.where("not positive").union(positive.join(old.select("digest"), "digest", "left_anti").select(*new.columns)).select("digest", "last", "group_size")
     return known.union(fresh).select("digest", F.col("last.doc_id").alias("keep_id"), F.col("last.n").alias("n_keep"), "group_size")
 
 

@@ -3,6 +3,9 @@ from collections import defaultdict
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
+from plinth.llm import exact_dedup as module
 from plinth.llm.binary_fuse import BinaryFuse
 from plinth.llm.exact_dedup import exact_dedup, keep_exact
 
@@ -46,6 +49,16 @@ def test_groups_ties_nulls_and_clashing_columns(spark):
     assert ids == sorted((x[0] if x[0] is not None else -1, t) for t, x in {r[1] or "": max(((y[0],) for y in rows if (y[1] or "") == (r[1] or "") and y[0] is not None), default=(None,)) for r in rows}.items())
 
 
+def test_negatives_join_nothing_and_false_positives_are_new(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, "a", True), (2, "b", True), (3, "a", False), (4, "c", False)], "doc_id long, text string, old boolean")
+    digests = rows.select("doc_id", module.text_digest("text").alias("digest"), F.col("old").alias("in_snapshot"))
+    sizes = lambda: sorted(r.group_size for r in module.duplicate_groups(digests).collect())
+    assert sizes() == [1, 1, 2]
+    for positive, want in ((True, [1, 1, 2]), (False, [1, 1, 1, 1])):  # a screen that passes all, and one that passes none
+        monkeypatch.setattr(module, "screened", lambda batch, filters, buckets, positive=positive: batch.select("digest", F.lit(positive).alias("positive")))
+        assert sizes() == want
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert exact_dedup(docs).count() == 0 and keep_exact(docs).count() == 0
