@@ -29,7 +29,7 @@ BASE_TERMS = dict.fromkeys((" idiot ", " moron ", " stupid ", " scum ", " loser
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "class clown", "loser bracket", "stupid easy")
 #: Lengths of the beginnings of words that may become terms, beside whole words.
 PREFIXES = (4, 5, 6)
-#: Words by which a text's length grows by 1, from measures on labelled documents.
+#: Words by which a text's length grows by 1. Labelled documents, of 4,256 words at most, do not tell 500 from 3000.
 LONG = 2000
 
 _TABLE = str.maketrans(HOMOGLYPHS | {chr(c): " " for c in range(128) if not chr(c).isalnum()} | {chr(0xFEE0 + c): chr(c) for c in range(ord("a"), ord("z") + 1)} | dict.fromkeys("«»“”‘’–—…¿¡ 　", " ") | dict.fromkeys("​‌‍­﻿"))
