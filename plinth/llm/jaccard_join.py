@@ -1,4 +1,4 @@
-"""Documents linked by the Jaccard similarity of their word n-grams, found through count vectors in R-trees."""
+"""Documents linked by the Jaccard similarity of their word n-grams: count vectors in R-trees, met through groups of shingles."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -20,18 +20,18 @@ from plinth.operators.graph import connected_components, merged_components
 from plinth.session import checkpointed
 
 _U64 = np.uint64
-#: Groups that a count vector counts, and the count that stands for itself and all above it.
-GROUPS, FULL = 128, 65535
-#: Least probability that a band of two linked sets agrees, and most probability that none does.
-AGREE, MISS = 0.4, 1e-12
-#: Bands of the first round.
-FIRST = 4
-#: Points in a leaf of the tree, nodes below a node, and points of one key that go to one task.
-LEAF, FANOUT, CHUNK = 64, 16, 20_000
-#: Ids that may be sent to every task: 8 bytes each, so 8 MB at most.
+#: Sizes of one class lie within this ratio.
+WIDTH = Fraction(5, 4)
+#: Coordinates of a tree's points: at least so many, about twice the mean set size, and at most so many numbers in all.
+LEAST_GROUPS, MOST_NUMBERS = 128, 1 << 23
+#: Coordinates of the box that tells which points need visit a chunk.
+BOX = 16
+#: Points in a leaf of the tree, and nodes below a node.
+LEAF, FANOUT = 64, 16
+#: Shingles of one key's sets that go to one task, and shingles that are compared at once.
+CHUNK, BLOCK = 1 << 21, 1 << 21
+#: Ids that may be sent to every task: 24 bytes each, so 24 MB at most.
 SENT = 1 << 20
-#: Ids from here on stand for rows without an id.
-NO_ID = 1 << 62
 
 
 def shingles(words: list[bytes], hashes: WordHashes, rolling: Rolling, n: int) -> np.ndarray:
@@ -43,56 +43,72 @@ def shingles(words: list[bytes], hashes: WordHashes, rolling: Rolling, n: int) -
 
 
 @cache
-def bands(least: Fraction) -> tuple[int, int]:
-    """How many minima make a band, and how many bands.
-
-    A band of two sets agrees with the probability J ** rows. There are so many that sets of the least similarity have none in common with a
-    probability below MISS, as rare as that two hashes of 64 bits meet by chance.
-    """
-    rows = max(1, math.floor(math.log(AGREE) / math.log(least)))
-    return rows, math.ceil(math.log(MISS) / math.log1p(-float(least) ** rows))
+def size_class(size: int) -> tuple[int, int]:
+    """The smallest and largest size of the class that holds `size`: 1, 2, 3, 4, 5 to 6, 7 to 8 and so on."""
+    low = high = 1
+    while high < size:
+        low, high = high + 1, max(high + 1, math.floor(high * WIDTH))
+    return low, high
 
 
 @cache
-def _factors(count: int) -> np.ndarray:
-    """Odd 32-bit numbers, the same in every task."""
-    return (mixed(np.arange(1, count + 1, dtype=_U64)) >> _U64(32)).astype(np.uint32) | np.uint32(1)
+def groups_of(high: int, low: int, least: Fraction) -> tuple[int, int]:
+    """How many shingles two linked sets of which the larger is in a class differ in at most, and the groups that its shingles are dealt to.
+
+    Sets of `a` and `b` shingles with a similarity of `least` differ in (a + b) * (1 - least) / (1 + least) at most. One group more than that
+    would do, but for groups that are empty; there are some more to make up for these.
+    """
+    differ = math.floor(2 * high * (1 - least) / (1 + least))
+    count, smallest = differ + 1, max(1, math.ceil(least * low))
+    while differ and count - 1.3 * count * math.exp(-smallest / count) - 1 < differ + 1 and count < 2 * differ + 4:
+        count += 1
+    return differ, count
+
 
+def group_keys(found: np.ndarray, least: Fraction) -> np.ndarray:
+    """Keys of which two linked sets have one in common, for sure.
 
-def band_keys(found: np.ndarray, least: Fraction) -> np.ndarray:
-    """A key for each band: of the smallest elements of the set in as many orders as the band has rows."""
-    rows, count = bands(least)
-    x = (found >> _U64(32)).astype(np.uint32)
-    minima = np.full(rows * count, 2**32 - 1, dtype=np.uint32)
-    for at in range(0, len(x), 512):  # a block of products stays in the processor's cache
-        np.minimum(minima, (x[at : at + 512, None] * _factors(rows * count)).min(axis=0), out=minima)
-    keys = np.arange(count, dtype=_U64)
-    for row in minima.reshape(rows, count).astype(_U64):
-        keys = mixed(keys * _U64(BASES[0]) + row)
-    return keys
+    The hashes are dealt to groups, so many that a linked set differs in fewer. So some group holds the same in both, and its content is a key. If so many groups
+    are empty that these may be the ones alike, they are keys too. Groups are those of the class that the larger set's size lies in, so a set
+    has the keys of its own class and of those up to its size / `least`.
+    """
+    size, keys = len(found), []
+    to, own = math.floor(size / least), mixed(found ^ _U64(BASES[1]))
+    low, high = size_class(size)
+    while True:
+        differ, count = groups_of(high, low, least)
+        group = ((found >> _U64(32)) * _U64(count)) >> _U64(32)
+        first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        seed = _U64(high * 0x9E3779B97F4A7C15 & 2**64 - 1)
+        keys.append(mixed(mixed(group[first] + seed) + np.add.reduceat(own, first)))
+        if len(first) <= differ:
+            empty = np.setdiff1d(np.arange(count, dtype=_U64), group[first], assume_unique=True)
+            keys.append(mixed(mixed(empty + seed)))
+        if high >= to:
+            return np.unique(np.concatenate(keys))
+        low, high = size_class(high + 1)
 
 
 def profiles(docs: DataFrame, n: int, least: Fraction) -> DataFrame:
-    """`d`, `size`, `f`, `g` (128 bits of the set), `counts` (of hashes by group), `keys`; a row for each row that has words."""
-    schema = "d long, size long, f long, g long, counts binary, keys array<long>"
+    """`doc_id`, `k`, `size`, `f`, `g` (128 bits of the set), `keys`; a row for each row of `docs` (`doc_id`, `k`, `text`) that has words."""
+    schema = "doc_id long, k binary, size long, f long, g long, keys array<long>"
     arrow = to_arrow_schema(struct_of(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, rolling = WordHashes(), Rolling(BASES[0])
         for batch in sliced(batches):
             rows, keys, index = [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            for i, text in enumerate(batch.column(2).to_pylist()):
                 found = shingles(text.encode().lower().split(), hashes, rolling, n)
                 if len(found):
-                    counts = np.bincount((found & _U64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-                    f, g = (np.add.reduce(mixed(found ^ _U64(b))).view(np.int64).item() for b in BASES)
                     index.append(i)
-                    rows.append((len(found), f, g, np.minimum(counts, FULL).astype(np.uint16).tobytes()))
-                    keys.append(band_keys(found, least).view(np.int64))
-            columns = [pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 4, list(arrow)[1:5], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(index, type=pa.int32())), *columns, lists(keys, pa.int64())], schema=arrow)
+                    rows.append((len(found), *(np.add.reduce(mixed(found ^ _U64(b))).view(np.int64).item() for b in BASES)))
+                    keys.append(group_keys(found, least).view(np.int64))
+            columns = [pa.array(c, type=pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * 3)]
+            chosen = pa.array(index, type=pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen), *columns, lists(keys, pa.int64())], schema=arrow)
 
-    return docs.mapInArrow(run, struct_of(schema))
+    return docs.select("doc_id", "k", "text").mapInArrow(run, struct_of(schema))
 
 
 class CountTree:
@@ -145,175 +161,224 @@ class CountTree:
 
 
 def bound(counts: np.ndarray, other: np.ndarray, sizes: np.ndarray, size: int | np.ndarray, share: Fraction) -> np.ndarray:
-    """Whether sets with these counts can share enough: no more than the sum of the smaller counts is common to both. A group that is full in both bounds nothing."""
-    smaller = np.minimum(counts, other)
-    enough = smaller.sum(axis=-1, dtype=np.int64) * share.denominator >= (sizes + size) * share.numerator
-    return enough | (smaller >= FULL).any(axis=-1) if other.size and other.max() >= FULL else enough
-
-
-def forest(ids: np.ndarray, counts: np.ndarray, sizes: np.ndarray, comps: np.ndarray, share: Fraction) -> list[tuple[int, int]]:
-    """Edges between points that may be linked, enough to connect all components that such pairs connect. A point is asked for once."""
-    tree, edges, waiting = CountTree(counts, sizes), [], []
-    where = np.empty(len(ids), dtype=np.int64)
-    where[tree.order] = np.arange(len(ids))
-    ordered = np.argsort(comps, kind="stable")
-    known, first, number = np.unique(comps[ordered], return_index=True, return_counts=True)
-
-    def visit(comp: int) -> None:
-        at = int(np.searchsorted(known, comp))
-        mates = ordered[first[at] : first[at] + number[at]]
-        tree.remove(where[mates])
-        waiting.extend(mates[::-1].tolist())
-
-    for start in np.argsort(ids, kind="stable"):
-        if tree.alive[where[start]]:
-            visit(comps[start])
-        while waiting:
-            x = waiting.pop()
-            near = tree.order[tree.near(counts[x], sizes[x], share)]
-            for y in near[np.unique(comps[near], return_index=True)[1]]:
-                edges.append((int(ids[x]), int(ids[y])))
-                visit(comps[y])
-    return edges
-
-
-def across(ids: np.ndarray, counts: np.ndarray, sizes: np.ndarray, groups: np.ndarray, home: int, share: Fraction) -> list[tuple[int, int]]:
-    """All pairs of different components that may be linked, asked for from those outside the component `home`."""
-    tree, edges = CountTree(counts, sizes), []
-    for x in np.flatnonzero(groups != home):
-        met = tree.order[tree.near(counts[x], sizes[x], share)]
-        met = met[(groups[met] != groups[x]) & ((groups[met] == home) | (ids[met] > ids[x]))]
-        edges += [(int(ids[x]), int(y)) for y in ids[met]]
-    return edges
-
-
-def _by_key(rows: DataFrame, share: Fraction, every: bool) -> DataFrame:
-    """Candidate pairs `u` < `v` of rows (`key`, `chunk`, `d`, `size`, `counts`, `comp`, `home`), key by key and chunk by chunk."""
+    """Whether sets with these counts can share enough: no more than the sum of the smaller counts is common to both."""
+    return np.minimum(counts, other).sum(axis=-1, dtype=np.int64) * share.denominator >= (sizes + size) * share.numerator
+
+
+def common(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many elements of a sorted set each of the other sets (none is empty) holds."""
+    found, at = [], 0
+    while at < len(others):
+        to, size = at, 0
+        while to < len(others) and (to == at or size + len(others[to]) <= BLOCK):
+            size, to = size + len(others[to]), to + 1
+        flat = np.concatenate(others[at:to])
+        same = one[np.minimum(np.searchsorted(one, flat), len(one) - 1)] == flat
+        found.append(np.add.reduceat(same.astype(np.int64), np.cumsum([0, *(len(x) for x in others[at : to - 1])])))
+        at = to
+    return np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
+
+
+class Meeting:
+    """The points of one key and chunk: an R-tree over their counts, and their sets."""
+
+    def __init__(self, ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], least: Fraction):
+        self.ids, self.sets, self.least, self.share = ids, sets, least, least / (1 + least)
+        self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        groups = LEAST_GROUPS
+        while groups < 2 * self.sizes.mean() and 2 * groups * len(ids) <= MOST_NUMBERS:
+            groups *= 2
+        self.groups = groups
+        self.counts = np.stack([self.count(s) for s in sets])
+        _, self.comps = np.unique(comps, return_inverse=True)
+        self.names = np.unique(comps)
+
+    def count(self, found: np.ndarray) -> np.ndarray:
+        return np.bincount((found & _U64(self.groups - 1)).astype(np.int64), minlength=self.groups).astype(np.uint32)
+
+    def linked(self, found: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Those of the points `at` whose whole sets are similar enough."""
+        both = common(found, [self.sets[i] for i in at])
+        return at[both * self.least.denominator >= (len(found) + self.sizes[at] - both) * self.least.numerator]
+
+    def forest(self) -> list[tuple[int, int]]:
+        """Links enough to connect all components of the points that links connect. What was reached leaves the tree, so a crowd of near copies costs a query each, not a pair each."""
+        tree, edges, waiting = CountTree(self.counts, self.sizes), [], []
+        where = np.empty(len(self.ids), dtype=np.int64)
+        where[tree.order] = np.arange(len(self.ids))
+        ordered = np.argsort(self.comps, kind="stable")
+        first = np.searchsorted(self.comps[ordered], np.arange(len(self.names) + 1))
+
+        def visit(comp: int) -> None:
+            mates = ordered[first[comp] : first[comp + 1]]
+            tree.remove(where[mates])
+            waiting.extend(mates[::-1].tolist())
+
+        for start in np.argsort(self.ids, kind="stable"):
+            if tree.alive[where[start]]:
+                visit(self.comps[start])
+            while waiting:
+                x = waiting.pop()
+                met = self.linked(self.sets[x], tree.order[tree.near(self.counts[x], self.sizes[x], self.share)])
+                for y in met[np.unique(self.comps[met], return_index=True)[1]]:
+                    edges.append((int(self.ids[x]), int(self.ids[y])))
+                    visit(self.comps[y])
+        self.tree = CountTree(self.counts, self.sizes)
+        return edges
+
+    def visited(self, point: int, comp: int, found: np.ndarray) -> list[tuple[int, int]]:
+        """Links of a point of another chunk to one point of each component here that it is linked to."""
+        near = self.tree.order[self.tree.near(self.count(found), len(found), self.share)]
+        met = self.linked(found, near[self.names[self.comps[near]] != comp])
+        return [(int(point), int(self.ids[y])) for y in met[np.unique(self.comps[met], return_index=True)[1]]]
+
+
+def meet(rows: DataFrame, least: Fraction) -> DataFrame:
+    """Links `u`, `v` between components of rows (`key`, `chunk`, `guest`, `p`, `comp`, `grams`) that share key and chunk. A guest meets those that are at home in a chunk."""
     schema = "u long, v long"
     arrow = to_arrow_schema(struct_of(schema))
 
-    def pairs(key: np.ndarray, ids: np.ndarray, sizes: np.ndarray, counts: np.ndarray, comp: np.ndarray, home: np.ndarray) -> pa.RecordBatch:
-        cuts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
-        width = np.diff(np.append(cuts, len(ids)))
-        two = cuts[width == 2]
-        two = two[bound(counts[two], counts[two + 1], sizes[two], sizes[two + 1], share) & (comp[two] != comp[two + 1])]
-        edges = [np.stack([ids[two], ids[two + 1]], axis=1)]
-        for at, w in zip(cuts[width > 2].tolist(), width[width > 2].tolist(), strict=True):
-            s = slice(at, at + w)
-            found = across(ids[s], counts[s], sizes[s], comp[s], home[at], share) if every else forest(ids[s], counts[s], sizes[s], comp[s], share)
-            if found:
-                edges.append(np.array(found, dtype=np.int64))
-        both = np.unique(np.sort(np.concatenate(edges), axis=1), axis=0)
-        both = both[both[:, 0] != both[:, 1]]
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=arrow)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
+        at, own, here = None, [], None
+
+        def settled(more: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([e[i] for e in more], type=pa.int64()) for i in (0, 1)], schema=arrow)
+
+        def close() -> tuple[Meeting | None, list]:
+            if not own:
+                return None, []
+            made = Meeting(*(np.array(c, dtype=np.int64) for c in zip(*((p, c) for p, c, _ in own), strict=True)), [s for _, _, s in own], least)
+            return made, made.forest() if len(own) > 1 else []
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = np.stack([batch.column(i).to_numpy() for i in (0, 1)], axis=1)
-            counts = np.frombuffer(b"".join(batch.column(4).to_pylist()), dtype=np.uint16).reshape(-1, GROUPS)
-            more = [key, batch.column(2).to_numpy(), batch.column(3).to_numpy(), counts, batch.column(5).to_numpy(), batch.column(6).to_numpy()]
-            held = [np.concatenate(x) for x in zip(held, more, strict=True)] if held else more
-            if len(held[1]) >= 10_000:
-                other = np.flatnonzero((held[0] != held[0][-1]).any(axis=1))
-                if len(other):
-                    yield pairs(*(x[: other[-1] + 1] for x in held))
-                    held = [x[other[-1] + 1 :] for x in held]
-        if held and len(held[1]):
-            yield pairs(*held)
+            edges = []
+            for key, chunk, guest, p, comp, grams in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (key, chunk) != at:
+                    if here is None:
+                        edges += close()[1]
+                    at, own, here = (key, chunk), [], None
+                if not guest:
+                    own.append((p, comp, np.frombuffer(grams, dtype=_U64)))
+                    continue
+                if here is None:  # guests come after all that are at home
+                    here, more = close()
+                    edges += more
+                    if here and len(own) == 1:
+                        here.tree = CountTree(here.counts, here.sizes)
+                if here:
+                    edges += here.visited(p, comp, np.frombuffer(grams, dtype=_U64))
+            yield settled(edges)
+        if here is None:
+            yield settled(close()[1])
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.select("key", "chunk", "d", "size", "counts", "comp", "home").repartition(parts, "key", "chunk").sortWithinPartitions("key", "chunk", "d")
+    ordered = rows.select("key", "chunk", "guest", "p", "comp", "grams").repartition(parts, "key", "chunk").sortWithinPartitions("key", "chunk", "guest", "p")
     return ordered.mapInArrow(run, struct_of(schema)).distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, n: int, least: Fraction) -> DataFrame:
-    """`pairs` with `linked`: the sets of both, made anew of the texts in `docs` (`d`, `text`), compared exactly."""
-    arrow_sets = to_arrow_schema(struct_of("d long, grams binary"))
-    arrow_out = to_arrow_schema(struct_of("u long, v long, linked boolean"))
+def sets_of(docs: DataFrame, needed: DataFrame, n: int) -> DataFrame:
+    """`p`, `size`, `grams`, `box`: the whole sets of the points `needed` (`p`, `k`), made anew of their texts in `docs`; the box counts the shingles of each of 16 groups."""
+    schema = "p long, size long, grams binary, box array<int>"
+    arrow = to_arrow_schema(struct_of(schema))
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, rolling = WordHashes(), Rolling(BASES[0])
         for batch in sliced(batches):
-            made = [shingles(t.encode().lower().split(), hashes, rolling, n).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, type=pa.binary())], schema=arrow_sets)
+            made = [shingles(t.encode().lower().split(), hashes, rolling, n) for t in batch.column(1).to_pylist()]
+            boxes = [np.bincount((s & _U64(BOX - 1)).astype(np.int64), minlength=BOX).astype(np.int32) for s in made]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in made], type=pa.int64()), pa.array([s.tobytes() for s in made], type=pa.binary()), lists(boxes, pa.int32())], schema=arrow)
+
+    if needed.count() <= SENT:  # few enough to send to every task; else texts are dealt out by their key
+        needed = F.broadcast(needed)
+    return docs.join(needed, "k").select("p", "text").mapInArrow(run, struct_of(schema)).dropDuplicates(["p"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
+    """Those of the `pairs` (`u`, `v`) whose whole sets are similar enough. The sum of the smaller counts of 16 groups spares some the comparison."""
+    arrow = to_arrow_schema(struct_of("u long, v long"))
+    share = least / (1 + least)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             linked = []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(a, dtype=_U64), np.frombuffer(b, dtype=_U64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
+                both = int(common(x, [y])[0])
                 linked.append(both * least.denominator >= (len(x) + len(y) - both) * least.numerator)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, type=pa.bool_())], schema=arrow_out)
+            chosen = pa.array(np.flatnonzero(linked), type=pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen)], schema=arrow)
 
-    needed = checkpointed(pairs.select(F.explode(F.array("u", "v")).alias("d")).distinct())
-    if needed.count() <= SENT:  # few enough to send to every task; else texts are dealt out by id
-        needed = F.broadcast(needed)
-    made = docs.join(needed, "d").select("d", "text").mapInArrow(sets, struct_of("d long, grams binary"))
-    joined = pairs.join(made.withColumnsRenamed({"d": "u", "grams": "x"}), "u").join(made.withColumnsRenamed({"d": "v", "grams": "y"}), "v")
-    return joined.select("u", "v", "x", "y").mapInArrow(compare, struct_of("u long, v long, linked boolean")).groupBy("u", "v").agg(F.max("linked").alias("linked"))
-
-
-def linked_components(docs: DataFrame, n: int = 3, threshold: str = "0.9") -> DataFrame:
-    """`d`, `size`, `comp` for each row of `docs` (`d`, `text`) that has words: its set's size and the smallest `d` it is linked to.
-
-    Sets of hashed shingles are counted by hash group: a point of GROUPS counts. Equal sets are one point, that of their smallest `d`. Two linked sets
-    agree in some band of minima but for a chance below MISS (see `bands`), so points that share a band's key meet in one
-    task and need be compared nowhere else. There an R-tree over the points is asked for all whose summed smaller counts allow for a link. A
-    point that was met leaves the tree, so a crowd of near copies costs a query each, not a pair each: the edges form a
-    forest, and are verified on whole sets. The first round takes a few bands, which link most; the second takes all, but only keys at which
-    components still meet. Where a false edge may have stood for a true one, at keys that still hold several components, a third
-    verifies all pairs across them that pass the bound. A key with over CHUNK points is dealt out in chunks;
-    its smallest point goes to each, and later all points outside that point's component do.
+    side = lambda end: sets.select(F.col("p").alias(end), F.col("size").alias(f"size_{end}"), F.col("grams").alias(f"grams_{end}"), F.col("box").alias(f"box_{end}"))
+    joined = pairs.join(side("u"), "u").join(side("v"), "v").where(_may_link("box_u", "box_v", "size_u", "size_v", share))
+    return joined.select("u", "v", "grams_u", "grams_v").mapInArrow(compare, struct_of("u long, v long"))
+
+
+def _may_link(box: str, other: str, size: str, other_size: str, share: Fraction) -> Column:
+    return F.expr(f"aggregate(zip_with({box}, {other}, (a, b) -> least(a, b)), 0L, (s, x) -> s + x) * {share.denominator}L >= ({size} + {other_size}) * {share.numerator}L")
+
+
+def linked_components(docs: DataFrame, n: int = 3, threshold: str = "0.9", chunk: int = CHUNK) -> DataFrame:
+    """`doc_id`, `k`, `size`, `comp` for each row of `docs` (`doc_id`, `k`, `text`) that has words: `comp` is the same number for all rows that links connect.
+
+    Equal sets are one point, which has the number of one of their rows. Shingles are dealt to groups. Points that hold the same shingles in some
+    group meet by its key, which linked points surely do (see `group_keys`). Of each key, first all others are compared with its smallest point: a
+    pair a row, and a pair once however many keys it has. That connects most. Then only keys are left at which several components
+    still meet. There an R-tree over count vectors is asked for all whose summed smaller counts allow for a link; those are verified on whole sets in the
+    task, and what is linked leaves the tree. So a crowd of near copies gives a forest of links, never all its pairs, and nothing is left to a further round.
+    Keys with the same points are looked at once. A key whose sets have over `chunk` shingles is dealt out in chunks. Each is the lowest level of
+    a larger tree, whose upper level is a table of the chunks' boxes: a point outside the component of the key's smallest point goes to those
+    chunks whose box allows for a link.
     """
     least = Fraction(threshold)
     share = least / (1 + least)
-    rows = checkpointed(profiles(docs, n, least))
+    rows = checkpointed(profiles(docs, n, least).withColumn("r", F.monotonically_increasing_id()))
     # groups are written out, so that joins with them have plain exchanges on both sides, and a group that very many share can be split
-    classes = checkpointed(rows.groupBy("f", "g").agg(F.min("d").alias("least")))
-    member = checkpointed(rows.select("d", "size", "f", "g").join(classes, ["f", "g"]).select("d", "size", "least"))
-    points = rows.join(classes, ["f", "g"]).where("d <= least").select("d", "size", "counts", "keys")
-    keys = points.select("d", F.posexplode("keys").alias("band", "key"))
-    shared = checkpointed(keys.groupBy("key").agg(F.min("d").alias("lo"), F.count("*").alias("n")).where("n > 1"))
-    met = checkpointed(keys.join(shared, "key").select("key", "band", "d", "lo", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")).distinct())
-    vectors = points.select("d", "size", "counts")
-
-    def candidates(comps: DataFrame | None, upto: int, every: bool) -> DataFrame:
-        known = met.where(F.col("band") < upto)
-        if comps is None:
-            known = known.withColumns({"comp": F.col("d"), "home": F.col("lo")})
-        else:
-            known = known.join(comps.withColumnsRenamed({"node": "d", "component": "comp"}), "d", "left").withColumn("comp", F.coalesce("comp", "d"))
-            known = known.join(comps.withColumnsRenamed({"node": "lo", "component": "home"}), "lo", "left").withColumn("home", F.coalesce("home", "lo"))
-            several = known.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("key")
-            known = known.join(several, "key", "left_semi")
-        everywhere = F.col("d") == F.col("lo") if comps is None else F.col("comp") != F.col("home")
-        own = F.when(everywhere, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("d"), F.col("chunks")).cast("int")))
-        dealt = known.select("key", "d", "comp", "home", F.explode(own).alias("chunk"))
-        return _by_key(dealt.join(vectors, "d"), share, every)
-
-    alike = rows.groupBy("d").count().where("count > 1").select("d").join(member, "d").groupBy("d").agg(F.min("least").alias("u"), F.max("least").alias("v")).where("u < v").select("u", "v")
-    all_bands = bands(least)[1]
-    tested = checkpointed(_verified(candidates(None, FIRST, False), docs, n, least))
-    comps = checkpointed(connected_components(tested.where("linked").select("u", "v").union(alike), "u", "v"))
-    more = checkpointed(_verified(checkpointed(candidates(comps, all_bands, False).join(tested, ["u", "v"], "left_anti")), docs, n, least))
-    comps, tested = merged_components(comps, more.where("linked"), "u", "v"), tested.union(more)
-    if tested.where("not linked").limit(1).count():
-        rest = checkpointed(candidates(comps, all_bands, True).join(tested, ["u", "v"], "left_anti"))
-        comps = merged_components(comps, checkpointed(_verified(rest, docs, n, least)).where("linked"), "u", "v")
-    return member.join(comps, member["least"] == comps["node"], "left").select("d", "size", F.coalesce("component", "least").alias("comp"))
-
-
-def _identified(docs: DataFrame) -> DataFrame:
-    """`d` and `text`. Rows without an id get one of their text, above all others."""
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id"), F.lit(NO_ID) + F.xxhash64(text).bitwiseAND((1 << 61) - 1)).alias("d"), text.alias("text"))
-
-
-def link_documents(docs: DataFrame, n: int = 3, threshold: str = "0.9") -> DataFrame:
+    classes = checkpointed(rows.groupBy("f", "g").agg(F.min("r").alias("p")))
+    member = checkpointed(rows.select("r", "doc_id", "k", "size", "f", "g").join(classes, ["f", "g"]).select("r", "doc_id", "k", "size", "p"))
+    again = member.where("r <> p").select("r")
+    points = rows.join(F.broadcast(again) if again.count() <= SENT else again, "r", "left_anti")
+    keys = points.select(F.col("r").alias("p"), F.explode("keys").alias("key"))
+    shared = checkpointed(keys.groupBy("key").agg(F.min("p").alias("lo"), F.count("*").alias("n")).where("n > 1").select("key", "lo"))
+    met = checkpointed(keys.join(shared, "key").select("key", "p", "lo"))
+    chosen = checkpointed(met.select("p").distinct().join(member.where("r = p").select("p", "k"), "p"))
+    sets = checkpointed(sets_of(docs, chosen, n))
+
+    stars = checkpointed(met.where("lo < p").select(F.col("lo").alias("u"), F.col("p").alias("v")).distinct())
+    own = member.where("doc_id is not null").select("doc_id", "p").distinct()
+    several = own.groupBy("doc_id").agg(F.min("p").alias("u"), F.max("p").alias("last")).where("u < last").select("doc_id", "u")
+    alike = own.join(several, "doc_id").where("u < p").select("u", F.col("p").alias("v"))
+    comps = checkpointed(connected_components(verified(stars, sets, least).union(alike), "u", "v"))
+
+    named = met.join(comps.withColumnsRenamed({"node": "p", "component": "comp"}), "p", "left").withColumn("comp", F.coalesce("comp", "p"))
+    named = checkpointed(named.join(sets.select("p", "size"), "p"))
+    open_keys = named.groupBy("key").agg(
+        F.min("comp").alias("a"), F.max("comp").alias("b"), F.min_by("comp", "p").alias("home"), F.sum(F.greatest("size", F.lit(LEAST_GROUPS // 2))).alias("total"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("p")).alias("x"), F.bit_xor(F.xxhash64("p", F.lit(1))).alias("y")
+    )
+    open_keys = checkpointed(open_keys.where("a < b").groupBy("n", "x", "y").agg(F.min("key").alias("key"), F.first("home").alias("home"), F.first("total").alias("total")))
+    chunks = F.ceil(F.col("total") / F.lit(chunk)).cast("int")
+    dealt = named.join(open_keys.select("key", "home", chunks.alias("chunks")), "key").select("key", "p", "comp", "home", "chunks", F.pmod(F.xxhash64("p"), "chunks").cast("int").alias("chunk"))
+    at_home = dealt.join(sets.select("p", "grams"), "p").select("key", "chunk", F.lit(False).alias("guest"), "p", "comp", "grams")
+    found = meet(at_home, least)
+    wide = dealt.where("chunks > 1")
+    if wide.limit(1).count():
+        large = checkpointed(wide.join(sets, "p"))
+        boxes = checkpointed(large.groupBy("key", "chunk").agg(F.min("size").alias("least_size"), F.array(*(F.max(F.col("box")[i]) for i in range(BOX))).alias("upper")))
+        guests = large.where("comp <> home").join(boxes.withColumnRenamed("chunk", "to"), "key").where("`to` <> chunk").where(_may_link("box", "upper", "size", "least_size", share))
+        found = meet(at_home.union(guests.select("key", F.col("to").alias("chunk"), F.lit(True), "p", "comp", "grams")), least)
+    comps = merged_components(comps, checkpointed(found), "u", "v")
+    return member.join(comps.withColumnRenamed("node", "p"), "p", "left").select("doc_id", "k", "size", F.coalesce("component", "p").alias("comp"))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """`doc_id`, `text` and `k`, by which rows of one id and text are known."""
+    return docs.select("doc_id", _key().alias("k"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def _key() -> Column:
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit("")))))
+
+
+def link_documents(docs: DataFrame, n: int = 3, threshold: str = "0.9", chunk: int = CHUNK) -> DataFrame:
     """One row per document: `doc_id`, `n_shingles`, `component_id`.
 
     A document's set holds its distinct `n`-word shingles, A-Z lower-cased; with fewer words, all of them as one; without words it is
@@ -321,21 +386,24 @@ def link_documents(docs: DataFrame, n: int = 3, threshold: str = "0.9") -> DataF
     smallest `doc_id` that links lead to, its own included. Rows that share an id are one document and share its links. A null
     id is above all others, and as a component it is null. Rows that repeat give equal rows. An empty table gives no rows.
     """
-    rows = _identified(docs)
-    comps = linked_components(rows, n, threshold)
-    named = comps.groupBy("d", "size").agg(F.min("comp").alias("comp"))
-    empty = rows.where(~F.col("text").rlike(r"[^\x20\x09-\x0D]")).select("d", F.lit(0).cast("long").alias("size"), F.col("d").alias("comp"))
-    full = comps.select("d", "size").join(named, ["d", "size"])
-    seen = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
-    return full.union(empty).select(seen("d").alias("doc_id"), F.col("size").alias("n_shingles"), seen("comp").alias("component_id"))
+    rows = _keyed(docs)
+    comps = linked_components(rows, n, threshold, chunk)
+    named = checkpointed(comps.groupBy("comp").agg(F.min("doc_id").alias("component_id")))
+    full = comps.join(named, "comp").select("doc_id", F.col("size").alias("n_shingles"), "component_id")
+    empty = rows.where(~F.col("text").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", F.lit(0).cast("long").alias("n_shingles"))
+    # an id that has a wordless row besides others is one document with these
+    other = full.where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    return full.union(empty.join(other, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id")))
 
 
-def keep_one_of_each(docs: DataFrame, n: int = 3, threshold: str = "0.9") -> DataFrame:
+def keep_one_of_each(docs: DataFrame, n: int = 3, threshold: str = "0.9", chunk: int = CHUNK) -> DataFrame:
     """The rows of `docs` whose id is the smallest of their component, with all their columns; of rows without words, all.
 
-    Rows without an id stay if nothing with an id is linked to them. Of several rows with the id that stays, all stay.
+    Rows without an id stay if nothing with an id is linked to them; of several such that are linked, those of one text stay. Of several rows with the id that stays, all stay.
     """
-    text = F.coalesce("text", F.lit(""))
-    d = F.coalesce(F.col("doc_id"), F.lit(NO_ID) + F.xxhash64(text).bitwiseAND((1 << 61) - 1))
-    gone = linked_components(_identified(docs), n, threshold).where("d <> comp").select("d").distinct()
-    return docs.select(F.struct("*").alias("row"), d.alias("d")).join(gone, "d", "left_anti").select("row.*")
+    comps = linked_components(_keyed(docs), n, threshold, chunk)
+    stays = checkpointed(comps.groupBy("comp").agg(F.min("doc_id").alias("least_id"), F.min("k").alias("least_k")))
+    gone = comps.join(stays, "comp").where(~F.col("doc_id").eqNullSafe(F.col("least_id")) | F.col("least_id").isNull() & (F.col("k") != F.col("least_k")))
+    gone = checkpointed(gone.select(F.col("k").alias("gone")).distinct())
+    packed = docs.select(F.struct("*").alias("row"), _key().alias("k"))
+    return packed.join(F.broadcast(gone) if gone.count() <= SENT else gone, F.col("k") == F.col("gone"), "left_anti").select("row.*")

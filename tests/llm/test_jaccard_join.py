@@ -4,7 +4,7 @@ from fractions import Fraction
 
 import numpy as np
 
-from plinth.llm.jaccard_join import CountTree, band_keys, bands, bound, keep_one_of_each, link_documents
+from plinth.llm.jaccard_join import CountTree, bound, common, group_keys, groups_of, keep_one_of_each, link_documents, size_class
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -64,37 +64,72 @@ def test_components_match_brute_force(spark):
     assert {r.doc_id for r in kept.collect()} - {None} == want
 
 
-def test_bands_and_bound_lose_no_link():
-    random.seed(8)
-    r = np.random.default_rng(1)
-    agree = []
-    for t in (Fraction(9, 10), Fraction(4, 5)):
-        for _ in range(500):
-            n = random.choice([9, 10, 11, 14, 18, 19, 27, 50, 200, 1000])
-            a = r.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2)
-            drop, add = random.randint(0, n // 9), random.randint(0, n // 9)
-            b = np.concatenate([a[drop:], r.integers(0, 2**63, add, dtype=np.uint64) * np.uint64(2)])
-            both = n - drop
-            if both < t * (n + add):
+def near_sets(r, n, t, wide=0):
+    """A set and one made of it that is linked to it, the similarity being close to the threshold."""
+    a = r.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2)
+    if wide:  # few groups are filled
+        a = a >> np.uint64(wide) << np.uint64(1)
+    while True:
+        drop, add = (int(x) for x in r.integers(0, n // 4 + 2, 2))
+        if n > drop and (n - drop) >= t * (n + add):
+            return np.unique(a), np.unique(np.concatenate([a[drop:], r.integers(0, 2**63, add, dtype=np.uint64) * np.uint64(2)]))
+
+
+def test_linked_sets_have_a_key_in_common():
+    r, shared = np.random.default_rng(1), []
+    for t in (Fraction(9, 10), Fraction(4, 5), Fraction(1, 2), Fraction(1)):
+        for trial in range(1500):
+            a, b = near_sets(r, int(r.choice([1, 2, 3, 5, 8, 9, 10, 11, 14, 18, 19, 27, 50, 200, 1000])), t, wide=(0, 0, 0, 20)[trial % 4])
+            both = len(np.intersect1d(a, b))
+            if both < t * (len(a) + len(b) - both):
                 continue
-            x, y = (set(band_keys(np.unique(s), t).tolist()) for s in (a, b))
-            assert x & y
-            agree.append((len(x & y) / len(x), float(Fraction(both, n + add)) ** bands(t)[0]))
+            x, y = group_keys(a, t), group_keys(b, t)
+            shared.append(len(np.intersect1d(x, y)))
+            assert shared[-1]
             ca, cb = (np.bincount((s & np.uint64(127)).astype(int), minlength=128) for s in (a, b))
-            assert bound(ca[None], cb, np.array([n]), len(b), t / (1 + t))[0]
-    got, want = np.mean(agree, axis=0)
-    assert abs(got - want) < 0.02
-    assert not {*band_keys(np.unique(a), t).tolist()} & {*band_keys(np.unique(r.integers(0, 2**63, 500, dtype=np.uint64)), t).tolist()}
-
-
-def test_full_groups_prune_no_copies():
-    counts = np.full((3, 128), 65535, dtype=np.uint16)  # of sets with 70,000 hashes in each group
-    counts[2] = 100
-    sizes = np.array([70_000 * 128, 70_000 * 128, 12_800])
-    share = Fraction(9, 19)
-    assert bound(counts, counts[0], sizes, int(sizes[0]), share).tolist() == [True, True, False]
-    assert bound(counts[:2], counts[1:], sizes[:2], sizes[1:], share).tolist() == [True, False]
-    assert sorted(CountTree(counts, sizes).near(counts[0], int(sizes[0]), share)) == [0, 1]
+            assert bound(ca[None], cb, np.array([len(a)]), len(b), t / (1 + t))[0]
+            assert common(a, [b, a]).tolist() == [both, len(a)]
+    a, b = (np.unique(r.integers(0, 2**63, 500, dtype=np.uint64) * np.uint64(2)) for _ in range(2))
+    assert len(shared) > 5000 and not len(np.intersect1d(group_keys(a, t), group_keys(b, t)))
+
+
+def test_groups_outnumber_differences():
+    for t in (Fraction(9, 10), Fraction(4, 5)):
+        for size in [*range(1, 200), 5000, 10**6]:
+            low, high = size_class(size)
+            assert low <= size <= high and size_class(low) == size_class(high)
+            differ, count = groups_of(high, low, t)
+            assert count > differ >= (2 * size) * (1 - t) / (1 + t) - 1
+
+
+def test_chunks_and_large_ids(spark):
+    """A key dealt out in chunks gives the same; ids may be as large as they come."""
+    rows = [(d + 2**62 if d % 3 else d, text) for d, text, *_ in fixture(9)] + [(2**63 - 1, "a b c d"), (2**63 - 2, "A B C D"), (-5, "a b c d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    for chunk in (1500, 1 << 21):
+        assert sorted(map(tuple, link_documents(docs, chunk=chunk).collect()), key=str) == want
+
+
+def crowd(n, changed, seed):
+    """Texts that differ from one text in some words, so that hardly two are linked."""
+    random.seed(seed)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for d in range(n):
+        w = list(base)
+        for at in random.sample(range(150), changed):
+            w[at] = f"x{random.randrange(10**6)}"
+        rows.append((d, " ".join(w)))
+    return rows
+
+
+def test_crowds(spark):
+    for changed in (2, 4):
+        rows = crowd(150, changed, 3)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+        for chunk in (3000, 1 << 21):
+            assert sorted(map(tuple, link_documents(docs, chunk=chunk).collect()), key=str) == brute(rows)
 
 
 def test_tree_finds_what_a_scan_finds():
