@@ -1,6 +1,9 @@
 """Every registered query against its SQL in DuckDB, over the smallest tables."""
 
 import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -37,3 +40,22 @@ def test_query_equals_its_sql(spark, tables, name):
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["i", "j", "iou", "coverage", "tier"]
+
+
+HIDDEN = """
+import importlib.abc, sys
+class Hide(importlib.abc.MetaPathFinder):
+    def find_spec(self, name, path=None, target=None):
+        if name.startswith({hidden!r}):
+            raise ModuleNotFoundError(name, name=name)
+sys.meta_path.insert(0, Hide())
+import __spark_entry__ as e
+print(sum(n.startswith("op") for n in e.queries()), "pipeline" in e.queries(), len(e.oracle_sql()) > 40)
+"""
+
+
+@pytest.mark.parametrize(("hidden", "ops", "pipeline"), [(("plinth.llm",), False, False), (("plinth.llm", "corpus_pipeline"), False, False), (("corpus_pipeline",), True, False)])
+def test_entry_without_parts(hidden, ops, pipeline):
+    done = subprocess.run([sys.executable, "-c", HIDDEN.format(hidden=hidden)], cwd=Path(entry.__file__).parent, capture_output=True, text=True, check=True)
+    number, has_pipeline, _ = done.stdout.split()
+    assert (int(number) > 0, has_pipeline == "True") == (ops and (Path(entry.__file__).parent / "plinth" / "llm").is_dir(), pipeline)
