@@ -21,15 +21,15 @@ from plinth.session import checkpointed
 
 _U64 = np.uint64
 #: Sizes of one class lie within this ratio.
-WIDTH = Fraction(5, 4)
+WIDTH = Fraction(3, 2)
 #: Coordinates of a tree's points: at least so many, about twice the mean set size, and at most so many numbers in all.
 LEAST_GROUPS, MOST_NUMBERS = 128, 1 << 23
 #: Coordinates of the box that tells which points need visit a chunk.
 BOX = 16
 #: Points in a leaf of the tree, and nodes below a node.
 LEAF, FANOUT = 64, 16
-#: Shingles of one key's sets that go to one task, and shingles that are compared at once.
-CHUNK, BLOCK = 1 << 21, 1 << 21
+#: Shingles of sets that meet in one task, and shingles that are compared at once.
+CHUNK, BLOCK = 1 << 20, 1 << 21
 #: Ids that may be sent to every task: 24 bytes each, so 24 MB at most.
 SENT = 1 << 20
 
@@ -44,7 +44,7 @@ def shingles(words: list[bytes], hashes: WordHashes, rolling: Rolling, n: int) -
 
 @cache
 def size_class(size: int) -> tuple[int, int]:
-    """The smallest and largest size of the class that holds `size`: 1, 2, 3, 4, 5 to 6, 7 to 8 and so on."""
+    """The smallest and largest size of the class that holds `size`: 1, 2, 3, 4, 5 to 6, 7 to 9 and so on."""
     low = high = 1
     while high < size:
         low, high = high + 1, max(high + 1, math.floor(high * WIDTH))
@@ -60,7 +60,7 @@ def groups_of(high: int, low: int, least: Fraction) -> tuple[int, int]:
     """
     differ = math.floor(2 * high * (1 - least) / (1 + least))
     count, smallest = differ + 1, max(1, math.ceil(least * low))
-    while differ and count - 1.3 * count * math.exp(-smallest / count) - 1 < differ + 1 and count < 2 * differ + 4:
+    while differ and count - count * math.exp(-smallest / count) - 1 < differ + 1 and count < 2 * differ + 4:
         count += 1
     return differ, count
 
@@ -290,7 +290,7 @@ def sets_of(docs: DataFrame, needed: DataFrame, n: int) -> DataFrame:
 
     if needed.count() <= SENT:  # few enough to send to every task; else texts are dealt out by their key
         needed = F.broadcast(needed)
-    return docs.join(needed, "k").select("p", "text").mapInArrow(run, struct_of(schema)).dropDuplicates(["p"])
+    return docs.join(needed, "k").select("p", "text").mapInArrow(run, struct_of(schema))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
@@ -325,9 +325,10 @@ def linked_components(docs: DataFrame, n: int = 3, threshold: str = "0.9", chunk
     pair a row, and a pair once however many keys it has. That connects most. Then only keys are left at which several components
     still meet. There an R-tree over count vectors is asked for all whose summed smaller counts allow for a link; those are verified on whole sets in the
     task, and what is linked leaves the tree. So a crowd of near copies gives a forest of links, never all its pairs, and nothing is left to a further round.
-    Keys with the same points are looked at once. A key whose sets have over `chunk` shingles is dealt out in chunks. Each is the lowest level of
-    a larger tree, whose upper level is a table of the chunks' boxes: a point outside the component of the key's smallest point goes to those
-    chunks whose box allows for a link.
+    Points that such keys connect are a crowd, which meets in one task if its sets have `chunk` shingles at most. Larger crowds
+    meet key by key, keys with the same points once. A key whose sets have over `chunk` shingles is dealt out in chunks. Each is the lowest
+    level of a larger tree, whose upper level is a table of the chunks' boxes: a point outside the component of the key's smallest point goes to
+    those chunks whose box allows for a link.
     """
     least = Fraction(threshold)
     share = least / (1 + least)
@@ -340,8 +341,10 @@ def linked_components(docs: DataFrame, n: int = 3, threshold: str = "0.9", chunk
     keys = points.select(F.col("r").alias("p"), F.explode("keys").alias("key"))
     shared = checkpointed(keys.groupBy("key").agg(F.min("p").alias("lo"), F.count("*").alias("n")).where("n > 1").select("key", "lo"))
     met = checkpointed(keys.join(shared, "key").select("key", "p", "lo"))
-    chosen = checkpointed(met.select("p").distinct().join(member.where("r = p").select("p", "k"), "p"))
-    sets = checkpointed(sets_of(docs, chosen, n))
+    chosen = checkpointed(met.select("p").distinct().join(member.where("r = p").select("p", "k", "size"), "p"))
+    sets = checkpointed(sets_of(docs, chosen.select("p", "k"), n))
+    if sets.count() > chosen.count():  # rows that repeat both id and text
+        sets = checkpointed(sets.dropDuplicates(["p"]))
 
     stars = checkpointed(met.where("lo < p").select(F.col("lo").alias("u"), F.col("p").alias("v")).distinct())
     own = member.where("doc_id is not null").select("doc_id", "p").distinct()
@@ -350,21 +353,27 @@ def linked_components(docs: DataFrame, n: int = 3, threshold: str = "0.9", chunk
     comps = checkpointed(connected_components(verified(stars, sets, least).union(alike), "u", "v"))
 
     named = met.join(comps.withColumnsRenamed({"node": "p", "component": "comp"}), "p", "left").withColumn("comp", F.coalesce("comp", "p"))
-    named = checkpointed(named.join(sets.select("p", "size"), "p"))
+    named = checkpointed(named.join(chosen.select("p", F.greatest("size", F.lit(LEAST_GROUPS // 2)).alias("weight")), "p"))
     open_keys = named.groupBy("key").agg(
-        F.min("comp").alias("a"), F.max("comp").alias("b"), F.min_by("comp", "p").alias("home"), F.sum(F.greatest("size", F.lit(LEAST_GROUPS // 2))).alias("total"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("p")).alias("x"), F.bit_xor(F.xxhash64("p", F.lit(1))).alias("y")
+        F.min("comp").alias("a"), F.max("comp").alias("b"), F.min_by("comp", "p").alias("home"), F.sum("weight").alias("total"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("p")).alias("x"), F.bit_xor(F.xxhash64("p", F.lit(1))).alias("y")
     )
     open_keys = checkpointed(open_keys.where("a < b").groupBy("n", "x", "y").agg(F.min("key").alias("key"), F.first("home").alias("home"), F.first("total").alias("total")))
-    chunks = F.ceil(F.col("total") / F.lit(chunk)).cast("int")
-    dealt = named.join(open_keys.select("key", "home", chunks.alias("chunks")), "key").select("key", "p", "comp", "home", "chunks", F.pmod(F.xxhash64("p"), "chunks").cast("int").alias("chunk"))
-    at_home = dealt.join(sets.select("p", "grams"), "p").select("key", "chunk", F.lit(False).alias("guest"), "p", "comp", "grams")
-    found = meet(at_home, least)
-    wide = dealt.where("chunks > 1")
-    if wide.limit(1).count():
-        large = checkpointed(wide.join(sets, "p"))
+    still = checkpointed(named.join(open_keys.select("key", "home", "total"), "key"))
+    crowd = checkpointed(connected_components(still.select("lo", "p"), "lo", "p")).withColumnRenamed("node", "p")
+    inside = checkpointed(still.select("p", "comp", "weight").distinct().join(crowd, "p"))
+    small = checkpointed(inside.groupBy("component").agg(F.sum("weight").alias("total")).where(F.col("total") <= chunk).select("component"))
+    inside = inside.join(small, "component").select(F.col("component").alias("key"), F.lit(0).alias("chunk"), "p", "comp")
+    # crowds too large for one task: key by key
+    wide = still.join(crowd, "p").join(small, "component", "left_anti").withColumn("chunks", F.ceil(F.col("total") / F.lit(chunk)).cast("int"))
+    wide = checkpointed(wide.select("key", F.pmod(F.xxhash64("p"), F.col("chunks")).cast("int").alias("chunk"), "p", "comp", "home", "chunks"))
+    at_home = inside.union(wide.select("key", "chunk", "p", "comp")).join(sets.select("p", "grams"), "p").select("key", "chunk", F.lit(False).alias("guest"), "p", "comp", "grams")
+    parted = wide.where("chunks > 1")
+    if parted.limit(1).count():
+        large = checkpointed(parted.join(sets, "p"))
         boxes = checkpointed(large.groupBy("key", "chunk").agg(F.min("size").alias("least_size"), F.array(*(F.max(F.col("box")[i]) for i in range(BOX))).alias("upper")))
         guests = large.where("comp <> home").join(boxes.withColumnRenamed("chunk", "to"), "key").where("`to` <> chunk").where(_may_link("box", "upper", "size", "least_size", share))
-        found = meet(at_home.union(guests.select("key", F.col("to").alias("chunk"), F.lit(True), "p", "comp", "grams")), least)
+        at_home = at_home.union(guests.select("key", F.col("to").alias("chunk"), F.lit(True), "p", "comp", "grams"))
+    found = meet(at_home, least)
     comps = merged_components(comps, checkpointed(found), "u", "v")
     return member.join(comps.withColumnRenamed("node", "p"), "p", "left").select("doc_id", "k", "size", F.coalesce("component", "p").alias("comp"))
 

@@ -70,16 +70,16 @@ def near_sets(r, n, t, wide=0):
     if wide:  # few groups are filled
         a = a >> np.uint64(wide) << np.uint64(1)
     while True:
-        drop, add = (int(x) for x in r.integers(0, n // 4 + 2, 2))
+        drop, add = (int(x) for x in r.integers(0, int(n * (1 - t)) + 2, 2))
         if n > drop and (n - drop) >= t * (n + add):
             return np.unique(a), np.unique(np.concatenate([a[drop:], r.integers(0, 2**63, add, dtype=np.uint64) * np.uint64(2)]))
 
 
 def test_linked_sets_have_a_key_in_common():
     r, shared = np.random.default_rng(1), []
-    for t in (Fraction(9, 10), Fraction(4, 5), Fraction(1, 2), Fraction(1)):
-        for trial in range(1500):
-            a, b = near_sets(r, int(r.choice([1, 2, 3, 5, 8, 9, 10, 11, 14, 18, 19, 27, 50, 200, 1000])), t, wide=(0, 0, 0, 20)[trial % 4])
+    for t in (Fraction(9, 10), Fraction(4, 5), Fraction(1, 2)):
+        for trial in range(300):
+            a, b = near_sets(r, int(r.choice([1, 2, 3, 5, 8, 9, 10, 11, 14, 18, 19, 27, 50, 200, 400])), t, wide=(0, 0, 0, 20)[trial % 4])
             both = len(np.intersect1d(a, b))
             if both < t * (len(a) + len(b) - both):
                 continue
@@ -90,7 +90,7 @@ def test_linked_sets_have_a_key_in_common():
             assert bound(ca[None], cb, np.array([len(a)]), len(b), t / (1 + t))[0]
             assert common(a, [b, a]).tolist() == [both, len(a)]
     a, b = (np.unique(r.integers(0, 2**63, 500, dtype=np.uint64) * np.uint64(2)) for _ in range(2))
-    assert len(shared) > 5000 and not len(np.intersect1d(group_keys(a, t), group_keys(b, t)))
+    assert len(shared) > 500 and not len(np.intersect1d(group_keys(a, t), group_keys(b, t)))
 
 
 def test_groups_outnumber_differences():
