@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plinth.llm import exact_dedup as module
 from plinth.llm.binary_fuse import BinaryFuse
-from plinth.llm.exact_dedup import exact_dedup, keep_exact
+from plinth.llm.exact_dedup import exact_dedup, keep_exact, screened, snapshot_filters, text_digest
 
 SCHEMA = "doc_id long, text string, digest string, keep_id int"
 
@@ -55,10 +55,41 @@ def test_negatives_join_nothing_and_false_positives_are_new(spark, monkeypatch):
     sizes = lambda: sorted(r.group_size for r in module.duplicate_groups(digests).collect())
     assert sizes() == [1, 1, 2]
     for positive, want in ((True, [1, 1, 2]), (False, [1, 1, 1, 1])):  # a screen that passes all, and one that passes none
-        monkeypatch.setattr(module, "screened", lambda batch, filters, buckets, positive=positive: batch.select("digest", F.lit(positive).alias("positive")))
+        monkeypatch.setattr(module, "screened", lambda batch, filters, positive=positive: batch.select("digest", F.lit(positive).alias("positive")))
         assert sizes() == want
 
 
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert exact_dedup(docs).count() == 0 and keep_exact(docs).count() == 0
+
+
+def test_any_split_gives_the_same_groups(spark, monkeypatch):
+    import plinth.llm.exact_dedup as module
+
+    monkeypatch.setattr(module, "KEYS_PER_FILTER", 16)
+    monkeypatch.setattr(module, "PROBES", 8)
+    rows = [(i, f"text {i % 37 if i % 3 else i}") for i in range(300)] + [(None, None), (7, ""), (300, "text 1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, exact_dedup(docs).collect()), key=repr)
+    for split in (F.lit(False), F.lit(True), F.col("doc_id") < 100):
+        assert sorted(map(tuple, exact_dedup(docs, in_snapshot=split).collect()), key=repr) == want
+
+
+def test_kept_filters(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"t{i % 50}") for i in range(200)], "doc_id long, text string")
+    old = F.col("doc_id") < 30
+    module_digests = rows.where(old).select(text_digest("text").alias("digest")).distinct()
+    snapshot_filters(module_digests).write.parquet(str(tmp_path / "filters"))
+    kept = spark.read.parquet(str(tmp_path / "filters"))
+    assert sorted(map(tuple, exact_dedup(rows, old, filters=kept).collect())) == sorted(map(tuple, exact_dedup(rows).collect()))
+    new = rows.where(~old).select(text_digest("text").alias("digest")).distinct()
+    assert screened(new, kept).where("positive").count() >= 30
+
+
+def test_texts_of_one_digest_are_compared(spark):
+    weak = lambda text: F.unhex(F.md5(F.left(text, F.lit(1))))
+    rows = [(1, "ab"), (2, "ac"), (3, "ab"), (4, "b"), (5, "b"), (6, "a"), (7, None), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup(docs, digest=weak).collect()}
+    assert got == {1: (3, 2), 3: (3, 2), 2: (2, 1), 4: (5, 2), 5: (5, 2), 6: (6, 1), 7: (8, 2), 8: (8, 2)}
