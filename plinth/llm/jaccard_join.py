@@ -26,6 +26,8 @@ WIDTH = Fraction(3, 2)
 LEAST_GROUPS, MOST_NUMBERS = 128, 1 << 23
 #: Coordinates of the box that tells which points need visit a chunk.
 BOX = 16
+#: Points of a key that are asked for in one task by their counts alone, 16 MB of them.
+POINTS = 1 << 15
 #: Points in a leaf of the tree, and nodes below a node.
 LEAF, FANOUT = 64, 16
 #: Shingles of sets that meet in one task, and shingles that are compared at once.
@@ -276,17 +278,69 @@ def meet(rows: DataFrame, least: Fraction) -> DataFrame:
     return ordered.mapInArrow(run, struct_of(schema)).distinct()
 
 
+def may_be_linked(rows: DataFrame, least: Fraction) -> DataFrame:
+    """Pairs `u`, `v` of components, enough to connect all that hold points of one key (rows `key`, `p`, `size`, `comp`, `counts`) whose counts allow for a link."""
+    schema, share = "u long, v long", least / (1 + least)
+    arrow = to_arrow_schema(struct_of(schema))
+
+    def one_key(ids: np.ndarray, sizes: np.ndarray, comps: np.ndarray, counts: np.ndarray) -> list[tuple[int, int]]:
+        tree, edges, waiting = CountTree(counts, sizes), [], []
+        where = np.empty(len(ids), dtype=np.int64)
+        where[tree.order] = np.arange(len(ids))
+        names, inner = np.unique(comps, return_inverse=True)
+        ordered = np.argsort(inner, kind="stable")
+        first = np.searchsorted(inner[ordered], np.arange(len(names) + 1))
+
+        def visit(comp: int) -> None:
+            mates = ordered[first[comp] : first[comp + 1]]
+            tree.remove(where[mates])
+            waiting.extend(mates.tolist())
+
+        for start in range(len(names)):
+            if tree.alive[where[ordered[first[start]]]]:
+                visit(start)
+            while waiting:
+                x = waiting.pop()
+                for comp in np.unique(inner[tree.order[tree.near(counts[x], sizes[x], share)]]):
+                    edges.append((int(comps[x]), int(names[comp])))
+                    visit(comp)
+        return edges
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(key: np.ndarray, ids: np.ndarray, sizes: np.ndarray, comps: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+            cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            edges = [e for a, b in zip(cuts, np.append(cuts[1:], len(key)), strict=True) if b > a + 1 for e in one_key(ids[a:b], sizes[a:b], comps[a:b], counts[a:b])]
+            both = np.unique(np.sort(np.array(edges, dtype=np.int64).reshape(-1, 2), axis=1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=arrow)
+
+        held: list[np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            more = [*(batch.column(i).to_numpy() for i in range(4)), batch.column(4).flatten().to_numpy().astype(np.uint32).reshape(-1, LEAST_GROUPS)]
+            held = [np.concatenate(x) for x in zip(held, more, strict=True)] if held else more
+            last = int(np.searchsorted(held[0], held[0][-1]))
+            if last and len(held[0]) >= 5_000:
+                yield pairs(*(x[:last] for x in held))
+                held = [x[last:] for x in held]
+        if held:
+            yield pairs(*held)
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.select("key", "p", "size", "comp", "counts").repartition(parts, "key").sortWithinPartitions("key", "p").mapInArrow(run, struct_of(schema)).distinct()
+
+
 def sets_of(docs: DataFrame, needed: DataFrame, n: int) -> DataFrame:
-    """`p`, `size`, `grams`, `box`: the whole sets of the points `needed` (`p`, `k`), made anew of their texts in `docs`; the box counts the shingles of each of 16 groups."""
-    schema = "p long, size long, grams binary, box array<int>"
+    """`p`, `size`, `grams`, `counts`, `box`: the whole sets of the points `needed` (`p`, `k`), made anew of their texts in `docs`, and how many shingles are in each of 128 and of 16 groups."""
+    schema = "p long, size long, grams binary, counts array<int>, box array<int>"
     arrow = to_arrow_schema(struct_of(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, rolling = WordHashes(), Rolling(BASES[0])
         for batch in sliced(batches):
             made = [shingles(t.encode().lower().split(), hashes, rolling, n) for t in batch.column(1).to_pylist()]
-            boxes = [np.bincount((s & _U64(BOX - 1)).astype(np.int64), minlength=BOX).astype(np.int32) for s in made]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in made], type=pa.int64()), pa.array([s.tobytes() for s in made], type=pa.binary()), lists(boxes, pa.int32())], schema=arrow)
+            counts = [lists([np.bincount((s & _U64(groups - 1)).astype(np.int64), minlength=groups).astype(np.int32) for s in made], pa.int32()) for groups in (LEAST_GROUPS, BOX)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in made], type=pa.int64()), pa.array([s.tobytes() for s in made], type=pa.binary()), *counts], schema=arrow)
 
     if needed.count() <= SENT:  # few enough to send to every task; else texts are dealt out by their key
         needed = F.broadcast(needed)
@@ -294,7 +348,7 @@ def sets_of(docs: DataFrame, needed: DataFrame, n: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
-    """Those of the `pairs` (`u`, `v`) whose whole sets are similar enough. The sum of the smaller counts of 16 groups spares some the comparison."""
+    """Those of the `pairs` (`u`, `v`) whose whole sets are similar enough. Sets are sent only where the sum of the smaller counts allows for a link."""
     arrow = to_arrow_schema(struct_of("u long, v long"))
     share = least / (1 + least)
 
@@ -308,9 +362,10 @@ def verified(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
             chosen = pa.array(np.flatnonzero(linked), type=pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen)], schema=arrow)
 
-    side = lambda end: sets.select(F.col("p").alias(end), F.col("size").alias(f"size_{end}"), F.col("grams").alias(f"grams_{end}"), F.col("box").alias(f"box_{end}"))
-    joined = pairs.join(side("u"), "u").join(side("v"), "v").where(_may_link("box_u", "box_v", "size_u", "size_v", share))
-    return joined.select("u", "v", "grams_u", "grams_v").mapInArrow(compare, struct_of("u long, v long"))
+    side = lambda end, *more: sets.select(F.col("p").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in more))
+    near = pairs.join(side("u", "size", "counts"), "u").join(side("v", "size", "counts"), "v").where(_may_link("counts_u", "counts_v", "size_u", "size_v", share))
+    near = checkpointed(near.select("u", "v"))
+    return near.join(side("u", "grams"), "u").join(side("v", "grams"), "v").select("u", "v", "grams_u", "grams_v").mapInArrow(compare, struct_of("u long, v long"))
 
 
 def _may_link(box: str, other: str, size: str, other_size: str, share: Fraction) -> Column:
@@ -323,10 +378,10 @@ def linked_components(docs: DataFrame, n: int = 3, threshold: str = "0.9", chunk
     Equal sets are one point, which has the number of one of their rows. Shingles are dealt to groups. Points that hold the same shingles in some
     group meet by its key, which linked points surely do (see `group_keys`). Of each key, first all others are compared with its smallest point: a
     pair a row, and a pair once however many keys it has. That connects most. Then only keys are left at which several components
-    still meet. There an R-tree over count vectors is asked for all whose summed smaller counts allow for a link; those are verified on whole sets in the
-    task, and what is linked leaves the tree. So a crowd of near copies gives a forest of links, never all its pairs, and nothing is left to a further round.
-    Points that such keys connect are a crowd, which meets in one task if its sets have `chunk` shingles at most. Larger crowds
-    meet key by key, keys with the same points once. A key whose sets have over `chunk` shingles is dealt out in chunks. Each is the lowest
+    still meet, keys with the same points once. There an R-tree over count vectors is asked for all whose summed smaller counts allow for a link; what was
+    reached leaves the tree. So a key gives a forest, never all its pairs. Components that forests connect are a crowd, which meets in one task
+    if its sets have `chunk` shingles at most: again a tree tells which may be linked, but now these are verified on whole sets in the task, and only
+    what is linked leaves the tree. So nothing is left to a further round. Larger crowds meet so key by key. A key whose sets have over `chunk` shingles is dealt out in chunks. Each is the lowest
     level of a larger tree, whose upper level is a table of the chunks' boxes: a point outside the component of the key's smallest point goes to
     those chunks whose box allows for a link.
     """
@@ -353,18 +408,21 @@ def linked_components(docs: DataFrame, n: int = 3, threshold: str = "0.9", chunk
     comps = checkpointed(connected_components(verified(stars, sets, least).union(alike), "u", "v"))
 
     named = met.join(comps.withColumnsRenamed({"node": "p", "component": "comp"}), "p", "left").withColumn("comp", F.coalesce("comp", "p"))
-    named = checkpointed(named.join(chosen.select("p", F.greatest("size", F.lit(LEAST_GROUPS // 2)).alias("weight")), "p"))
+    named = checkpointed(named.join(chosen.select("p", "size", F.greatest("size", F.lit(LEAST_GROUPS // 2)).alias("weight")), "p"))
     open_keys = named.groupBy("key").agg(
         F.min("comp").alias("a"), F.max("comp").alias("b"), F.min_by("comp", "p").alias("home"), F.sum("weight").alias("total"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("p")).alias("x"), F.bit_xor(F.xxhash64("p", F.lit(1))).alias("y")
     )
-    open_keys = checkpointed(open_keys.where("a < b").groupBy("n", "x", "y").agg(F.min("key").alias("key"), F.first("home").alias("home"), F.first("total").alias("total")))
-    still = checkpointed(named.join(open_keys.select("key", "home", "total"), "key"))
-    crowd = checkpointed(connected_components(still.select("lo", "p"), "lo", "p")).withColumnRenamed("node", "p")
-    inside = checkpointed(still.select("p", "comp", "weight").distinct().join(crowd, "p"))
-    small = checkpointed(inside.groupBy("component").agg(F.sum("weight").alias("total")).where(F.col("total") <= chunk).select("component"))
-    inside = inside.join(small, "component").select(F.col("component").alias("key"), F.lit(0).alias("chunk"), "p", "comp")
+    open_keys = open_keys.where("a < b and n > 2").groupBy("n", "x", "y").agg(F.min("key").alias("key"), F.first("home").alias("home"), F.first("total").alias("total"))
+    still = checkpointed(named.join(checkpointed(open_keys), "key").select("key", "p", "lo", "size", "comp", "weight", "home", "total", "n"))
+    asked = may_be_linked(still.where(F.col("n") <= POINTS).select("key", "p", "size", "comp").join(sets.select("p", "counts"), "p"), least)
+    asked = asked.union(still.where((F.col("n") > POINTS) & (F.col("comp") != F.col("home"))).select(F.least("home", "comp"), F.greatest("home", "comp")))
+    crowd = checkpointed(connected_components(asked, "u", "v")).select(F.col("node").alias("comp"), F.col("component").alias("crowd"))
+    still = checkpointed(still.join(crowd, "comp"))
+    inside = checkpointed(still.select("crowd", "p", "comp", "weight").distinct())
+    small = checkpointed(inside.groupBy("crowd").agg(F.sum("weight").alias("all")).where(F.col("all") <= chunk).select("crowd"))
+    inside = inside.join(small, "crowd").select(F.col("crowd").alias("key"), F.lit(0).alias("chunk"), "p", "comp")
     # crowds too large for one task: key by key
-    wide = still.join(crowd, "p").join(small, "component", "left_anti").withColumn("chunks", F.ceil(F.col("total") / F.lit(chunk)).cast("int"))
+    wide = still.join(small, "crowd", "left_anti").withColumn("chunks", F.ceil(F.col("total") / F.lit(chunk)).cast("int"))
     wide = checkpointed(wide.select("key", F.pmod(F.xxhash64("p"), F.col("chunks")).cast("int").alias("chunk"), "p", "comp", "home", "chunks"))
     at_home = inside.union(wide.select("key", "chunk", "p", "comp")).join(sets.select("p", "grams"), "p").select("key", "chunk", F.lit(False).alias("guest"), "p", "comp", "grams")
     parted = wide.where("chunks > 1")

@@ -90,7 +90,7 @@ def test_linked_sets_have_a_key_in_common():
             assert bound(ca[None], cb, np.array([len(a)]), len(b), t / (1 + t))[0]
             assert common(a, [b, a]).tolist() == [both, len(a)]
     a, b = (np.unique(r.integers(0, 2**63, 500, dtype=np.uint64) * np.uint64(2)) for _ in range(2))
-    assert len(shared) > 500 and not len(np.intersect1d(group_keys(a, t), group_keys(b, t)))
+    assert len(shared) > 500 and not len(np.intersect1d(group_keys(a, Fraction(9, 10)), group_keys(b, Fraction(9, 10))))
 
 
 def test_groups_outnumber_differences():
