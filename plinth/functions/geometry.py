@@ -17,11 +17,14 @@ GEOMETRY = f"array<array<array<{POINT}>>>"
 _POLYGON = r"\(\s*\([^()]*\)(?:\s*,\s*\([^()]*\))*\s*\)"
 _NUMBER = r"[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?"
 
+_PLAIN_NUMBER = r"-?[0-9]+(?:\.[0-9]+)?(?:E-?[0-9]+)?"
+_PLAIN = rf"^POLYGON ?\(\({_PLAIN_NUMBER} {_PLAIN_NUMBER}(?:, ?{_PLAIN_NUMBER} {_PLAIN_NUMBER})*\)\)$"
+
 
 def parse_wkt(wkt: Column) -> Column:
     """POLYGON, MULTIPOLYGON or the polygonal members of a GEOMETRYCOLLECTION as a geometry; null for all else, and for text that can't be read.
 
-    The text becomes JSON by replacing its punctuation, and is parsed as such. A third and later coordinate is dropped.
+    A polygon of one ring, by far the most common, is split at its commas and spaces. Other text becomes JSON by replacing its punctuation, and is parsed as such. A third and later coordinate is dropped.
     """
     text = F.upper(F.trim(wkt))
     typed = text.rlike(r"^(?:SRID=[0-9]+;)?\s*(?:MULTI)?POLYGON\b|^(?:SRID=[0-9]+;)?\s*GEOMETRYCOLLECTION\b")
@@ -31,11 +34,19 @@ def parse_wkt(wkt: Column) -> Column:
     pairs = F.regexp_replace(joined, rf"({_NUMBER})\s+({_NUMBER})(?:\s+{_NUMBER})*", '{"x":$1,"y":$2}')
     plain = F.regexp_replace(pairs, r'([:])\+', "$1")
     json = F.concat(F.lit("["), F.translate(plain, "()", "[]"), F.lit("]"))
-    made = F.from_json(json, GEOMETRY, {"mode": "PERMISSIVE", "allowNonNumericNumbers": "false"})
-    whole = ~F.exists(made, lambda p: p.isNull() | F.exists(p, lambda r: r.isNull() | (F.size(r) < 4) | F.exists(r, lambda q: q.isNull() | q["x"].isNull() | q["y"].isNull())))
-    closed = ~F.exists(made, lambda p: F.exists(p, lambda r: (F.element_at(r, 1)["x"] != F.element_at(r, -1)["x"]) | (F.element_at(r, 1)["y"] != F.element_at(r, -1)["y"])))
     balanced = F.length(F.regexp_replace(text, r"[^(]", "")) == F.length(F.regexp_replace(text, r"[^)]", ""))
-    return F.when(typed & balanced & made.isNotNull() & whole & closed, made)
+    parsed = F.when(typed & balanced, F.from_json(json, GEOMETRY, {"mode": "PERMISSIVE", "allowNonNumericNumbers": "false"}))
+    pairs = F.split(F.substring_index(F.substring_index(text, "((", -1), "))", 1), ", ?")
+    point = lambda p: F.struct(F.substring_index(p, " ", 1).cast("double").alias("x"), F.substring_index(p, " ", -1).cast("double").alias("y"))
+    made = F.when(text.rlike(_PLAIN), F.array(F.array(F.transform(pairs, point)))).otherwise(parsed)
+
+    def whole(geom: Column) -> Column:
+        lacking = F.exists(geom, lambda p: p.isNull() | F.exists(p, lambda r: r.isNull() | (F.size(r) < 4) | F.exists(r, lambda q: q.isNull() | q["x"].isNull() | q["y"].isNull())))
+        ends = lambda r: (F.element_at(r, 1), F.element_at(r, -1))
+        opened = F.exists(geom, lambda p: F.exists(p, lambda r: (ends(r)[0]["x"] != ends(r)[1]["x"]) | (ends(r)[0]["y"] != ends(r)[1]["y"])))
+        return geom.isNotNull() & ~lacking & ~opened
+
+    return F.get(F.filter(F.array(made), whole), F.lit(0))  # named once, so that it is worked out once
 
 
 def to_wkt(geom: Column) -> Column:
@@ -102,20 +113,27 @@ def bounds(geom: Column) -> Column:
 
 def centroid(geom: Column) -> Column:
     """Area-weighted `x`, `y`; null where the area is 0."""
-    o = F.element_at(F.element_at(F.element_at(geom, 1), 1), 1)
-
-    def moments(ring: Column, sign: Column) -> Column:
-        cross = lambda a, b: (a["x"] - o["x"]) * (b["y"] - o["y"]) - (b["x"] - o["x"]) * (a["y"] - o["y"])
-        own = _edges(ring, lambda a, b: F.struct(cross(a, b).alias("c"), ((a["x"] + b["x"] - 2 * o["x"]) * cross(a, b)).alias("mx"), ((a["y"] + b["y"] - 2 * o["y"]) * cross(a, b)).alias("my")))
-        zero = F.struct(F.lit(0.0).alias("c"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-        total = F.aggregate(own, zero, lambda s, e: F.struct((s["c"] + e["c"]).alias("c"), (s["mx"] + e["mx"]).alias("mx"), (s["my"] + e["my"]).alias("my")))
-        turn = sign * F.signum(total["c"])
-        return F.struct((total["c"] * turn).alias("c"), (total["mx"] * turn).alias("mx"), (total["my"] * turn).alias("my"))
-
-    rings = F.flatten(F.transform(geom, lambda p: F.transform(p, lambda r, i: moments(r, F.when(i == 0, 1.0).otherwise(-1.0)))))
-    total = lambda field: _sum(F.transform(rings, lambda m: m[field]))
-    c, mx, my = total("c"), total("mx"), total("my")
-    return F.when(c != 0, F.struct((o["x"] + mx / (3 * c)).alias("x"), (o["y"] + my / (3 * c)).alias("y")))
+    fields = ("c", "mx", "my")
+
+    def moments(ring: Column, o: Column, sign: Column) -> Column:
+        """Of the area and its first moments about `o`, counted as `sign` says whatever way the ring turns. One walk: the state holds the last point."""
+        def step(s: Column, p: Column) -> Column:
+            cross = (s["x"] - o["x"]) * (p["y"] - o["y"]) - (p["x"] - o["x"]) * (s["y"] - o["y"])
+            mx, my = (s["x"] + p["x"] - 2 * o["x"]) * cross, (s["y"] + p["y"] - 2 * o["y"]) * cross
+            return F.struct(p["x"].alias("x"), p["y"].alias("y"), (s["c"] + cross).alias("c"), (s["mx"] + mx).alias("mx"), (s["my"] + my).alias("my"))
+
+        first = F.element_at(ring, 1)
+        start = F.struct(first["x"].alias("x"), first["y"].alias("y"), *(F.lit(0.0).alias(f) for f in fields))
+        return F.aggregate(ring, start, step, lambda s: F.struct(*((s[f] * sign * F.signum(s["c"])).alias(f) for f in fields)))
+
+    def centre(g: Column) -> Column:
+        o = F.element_at(F.element_at(F.element_at(g, 1), 1), 1)
+        rings = F.flatten(F.transform(g, lambda p: F.transform(p, lambda r, i: moments(r, o, F.when(i == 0, 1.0).otherwise(-1.0)))))
+        zero = F.struct(*(F.lit(0.0).alias(f) for f in fields))
+        made = lambda s: F.when(s["c"] != 0, F.struct((o["x"] + s["mx"] / (3 * s["c"])).alias("x"), (o["y"] + s["my"] / (3 * s["c"])).alias("y")))
+        return F.aggregate(rings, zero, lambda s, m: F.struct(*((s[f] + m[f]).alias(f) for f in fields)), made)
+
+    return F.when(F.size(geom) > 0, F.element_at(F.transform(F.array(geom), centre), 1))
 
 
 def with_measures(df, geom: str = "geom"):
