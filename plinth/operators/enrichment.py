@@ -47,10 +47,10 @@ def measured(shapes: DataFrame) -> DataFrame:
 
 
 def nearest_map_building(buildings: DataFrame, shapes: DataFrame) -> DataFrame:
-    """`buildings` (`component_id`, `cx`, `cy`, `area`) with `osm_id`, `osm_levels`, `osm_height_est` of the nearest of a like area within the radius; the smaller id of two as near."""
+    """`buildings` (`component_id`, `cx`, `cy`, `area`) with `osm_id`, `osm_levels`, `osm_height_est` of the nearest of a like area within the radius; the smaller id of two as near. A building without area has none."""
     near = radius_join(buildings.select("component_id", "cx", "cy", "area"), shapes.select("osm_id", "osm_levels", "osm_height_est", "cx", "cy", "area"), RADIUS)
-    both = (F.col("a_area") > 0) & (F.col("b_area") > 0)
-    near = near.where(~both | (F.greatest("a_area", "b_area") / F.least("a_area", "b_area") <= RATIO))
+    like = (F.col("b_area") <= 0) | (F.greatest("a_area", "b_area") <= RATIO * F.least("a_area", "b_area"))
+    near = near.where((F.col("a_area") > 0) & like)
     best = near.groupBy(F.col("a_component_id").alias("component_id")).agg(F.min_by(F.struct("b_osm_id", "b_osm_levels", "b_osm_height_est"), F.struct("distance", "b_osm_id")).alias("m"))
     best = best.select("component_id", F.col("m.b_osm_id").alias("osm_id"), F.col("m.b_osm_levels").alias("osm_levels"), F.col("m.b_osm_height_est").alias("osm_height_est"))
     return buildings.join(best, "component_id", "left")

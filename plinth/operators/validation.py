@@ -65,10 +65,12 @@ def source_agreement(buildings: DataFrame) -> DataFrame:
     return rows.agg(n.alias("n"), *below, far.alias("n_above_15"), _share(far, n).alias("pct_above_15"), F.bround(F.avg("d"), 2).alias("mean_diff"), F.bround(F.median("d"), 2).alias("median_diff"))
 
 
-def heights_by_purpose(buildings: DataFrame, least: int = 50, n: int = 15) -> DataFrame:
-    """Purposes of at least `least` buildings, the `n` with the highest mean."""
+def heights_by_purpose(buildings: DataFrame, least: int = 50, n: int = 15, source_b: DataFrame | None = None) -> DataFrame:
+    """Purposes of at least `least` buildings whose `height_b` is known, the `n` with the highest mean. None if `source_b` is given and has no column `district`."""
     h = F.col("height_final")
-    rows = buildings.where("height_final is not null and purpose is not null").groupBy("purpose").agg(F.bround(F.avg(h), 1).alias("mean"), F.bround(F.median(h), 1).alias("median"), F.count("*").alias("n"), F.avg(h).alias("_m"))
+    if source_b is not None and "district" not in source_b.columns:
+        buildings = buildings.limit(0)
+    rows = buildings.where("height_b is not null and height_final is not null and purpose is not null").groupBy("purpose").agg(F.bround(F.avg(h), 1).alias("mean"), F.bround(F.median(h), 1).alias("median"), F.count("*").alias("n"), F.avg(h).alias("_m"))
     return rows.where(F.col("n") >= least).orderBy(F.desc("_m"), "purpose").limit(n).drop("_m")
 
 

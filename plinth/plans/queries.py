@@ -218,20 +218,15 @@ def p5_matching_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.run_matching(fx.measured_a(spark, sf_dir), fx.measured_b(spark, sf_dir)).stats
 
 
+# each node has one edge out, so a component is what leads to one cycle or to one node without
 @_register(
     "r1_part_graph",
-    """WITH RECURSIVE e AS (SELECT p_partkey AS u, p_partkey * 7 % 1009 AS v FROM part WHERE p_partkey % 5 < 2), b AS (SELECT u, v FROM e WHERE u <> v UNION SELECT v, u FROM e WHERE u <> v),
-    r(node, other) AS (SELECT u, u FROM b UNION SELECT r.node, b.v FROM r JOIN b ON r.other = b.u) SELECT node, min(other) AS component FROM r GROUP BY node""",
+    """WITH RECURSIVE e AS (SELECT p_partkey AS u, p_partkey * 7 % 1009 AS v FROM part WHERE p_partkey <> p_partkey * 7 % 1009), r(node, other) AS (SELECT u, v FROM e UNION SELECT r.node, e.v FROM r JOIN e ON r.other = e.u),
+    ends AS (SELECT node AS x FROM r WHERE node = other UNION SELECT v FROM e WHERE v NOT IN (SELECT u FROM e)),
+    root AS (SELECT node, min(other) AS root FROM r JOIN ends ON other = x GROUP BY node UNION SELECT v, v FROM e WHERE v NOT IN (SELECT u FROM e))
+    SELECT node, min(node) OVER (PARTITION BY root) AS component FROM root""",
 )
 def r1_part_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").where("p_partkey % 5 < 2")
-    return connected_components(part.select(F.col("p_partkey").alias("src"), (F.col("p_partkey") * 7 % 1009).alias("dst")))
-
-
-# no SQL: its recursion makes all pairs of a component; tests compare with brute force
-@_register("r1_whole_part_graph")
-def r1_whole_part_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`r1_part_graph` over all rows of part."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     return connected_components(part.select(F.col("p_partkey").alias("src"), (F.col("p_partkey") * 7 % 1009).alias("dst")))
 
@@ -274,7 +269,7 @@ _DECIDED = f"""{ESTIMATES}, walked AS (SELECT *, sum(weight) OVER (PARTITION BY
     CASE WHEN n >= 3 THEN 'voting_' || n || 'est' WHEN n = 2 THEN 'wavg_' || first || '+' || last ELSE first END AS height_source,
     CASE WHEN n IS NULL THEN 'none' WHEN n = 1 THEN CASE first WHEN 'B_height' THEN 'high' WHEN 'B_stairs_calc' THEN 'medium' ELSE 'low' END
          WHEN cv < 0.15 THEN 'high_validated' WHEN cv < 0.3 THEN 'high' WHEN cv < 0.5 THEN 'medium' ELSE 'low_conflicting' END AS height_confidence,
-    round(CASE WHEN n >= 2 THEN cv WHEN n = 1 THEN 0 END, 6) AS estimate_cv FROM buildings b LEFT JOIN d USING (component_id)""",
+    round(CASE WHEN n >= 2 THEN cv END, 6) AS estimate_cv FROM buildings b LEFT JOIN d USING (component_id)""",
 )
 def a7_weighted_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = heights.decide_heights(heights.with_estimates(bf.buildings(spark, sf_dir)))
@@ -394,9 +389,9 @@ def s9_map_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("osm_id", "osm_levels", "osm_height_est", "osm_building_type", G.n_vertices(F.col("geom")).alias("n_vertices"), F.round("c.x", 9).alias("cx"), F.round("c.y", 9).alias("cy"))
 
 
-NEAREST = f"""{B}, shapes AS (SELECT component_id AS osm_id, cx + component_id % 23 AS ox, cy - component_id % 13 AS oy, area_b AS oa, CAST(1 + component_id % 9 AS DOUBLE) AS osm_levels FROM buildings WHERE component_id % 2 = 0),
-  near AS (SELECT b.component_id, s.osm_id, s.osm_levels, row_number() OVER (PARTITION BY b.component_id ORDER BY sqrt(pow(cx-ox, 2) + pow(cy-oy, 2)), s.osm_id) AS k FROM buildings b JOIN shapes s
-    ON sqrt(pow(cx-ox, 2) + pow(cy-oy, 2)) <= 20 AND greatest(area_a, oa) / least(area_a, oa) <= 3)"""
+NEAREST = f"""{B}, sized AS (SELECT *, CASE WHEN component_id % 29 = 0 THEN 0 ELSE area_a END AS own FROM buildings), shapes AS (SELECT component_id AS osm_id, cx + component_id % 23 AS ox, cy - component_id % 13 AS oy, area_b AS oa, CAST(1 + component_id % 9 AS DOUBLE) AS osm_levels FROM buildings WHERE component_id % 2 = 0),
+  near AS (SELECT b.component_id, s.osm_id, s.osm_levels, row_number() OVER (PARTITION BY b.component_id ORDER BY sqrt(pow(cx-ox, 2) + pow(cy-oy, 2)), s.osm_id) AS k FROM sized b JOIN shapes s
+    ON sqrt(pow(cx-ox, 2) + pow(cy-oy, 2)) <= 20 AND own > 0 AND (oa <= 0 OR greatest(own, oa) / least(own, oa) <= 3))"""
 
 
 @_register("j7_nearest_map_building", f"WITH {NEAREST} SELECT b.component_id, n.osm_id, n.osm_levels, n.osm_levels * 3 AS osm_height_est FROM buildings b LEFT JOIN near n ON b.component_id = n.component_id AND k = 1")
@@ -405,7 +400,7 @@ def j7_nearest_map_building(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("component_id")
     shapes = rows.where(k % 2 == 0).select(k.alias("osm_id"), (F.col("cx") + k % 23).alias("cx"), (F.col("cy") - k % 13).alias("cy"), F.col("area_b").alias("area"), (1 + k % 9).cast("double").alias("osm_levels"))
     shapes = shapes.withColumn("osm_height_est", F.col("osm_levels") * 3)
-    return enrichment.nearest_map_building(rows.select("component_id", "cx", "cy", F.col("area_a").alias("area")), shapes).select("component_id", "osm_id", "osm_levels", "osm_height_est")
+    return enrichment.nearest_map_building(rows.select("component_id", "cx", "cy", F.when(k % 29 == 0, 0.0).otherwise(F.col("area_a")).alias("area")), shapes).select("component_id", "osm_id", "osm_levels", "osm_height_est")
 
 
 @_register(
@@ -493,7 +488,7 @@ def a14_source_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doubles(validation.source_agreement(bf.buildings(spark, sf_dir)))
 
 
-@_register("a15_by_purpose", f"WITH {B} SELECT purpose, round_even(avg(height_final), 1)::DOUBLE AS mean, round_even(median(height_final), 1)::DOUBLE AS median, count(*) AS n FROM buildings WHERE height_final IS NOT NULL AND purpose IS NOT NULL GROUP BY purpose HAVING count(*) >= 10 ORDER BY avg(height_final) DESC, purpose LIMIT 4")
+@_register("a15_by_purpose", f"WITH {B} SELECT purpose, round_even(avg(height_final), 1)::DOUBLE AS mean, round_even(median(height_final), 1)::DOUBLE AS median, count(*) AS n FROM buildings WHERE height_b IS NOT NULL AND height_final IS NOT NULL AND purpose IS NOT NULL GROUP BY purpose HAVING count(*) >= 10 ORDER BY avg(height_final) DESC, purpose LIMIT 4")
 def a15_by_purpose(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doubles(validation.heights_by_purpose(bf.buildings(spark, sf_dir), 10, 4))
 

@@ -47,7 +47,7 @@ def test_whole_part_graph_takes_all_rows(spark, tmp_path):
             if x not in want:
                 want[x] = k
                 todo += near[x]
-    got = queries.r1_whole_part_graph(spark, str(tmp_path))
+    got = queries.r1_part_graph(spark, str(tmp_path))
     assert sorted(map(tuple, got.collect())) == sorted(want.items())
     assert {k for k in keys if k} <= set(want)
 
