@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from plinth.llm.arrow import map_rows, sliced, struct_of
+from plinth.session import checkpointed
 
 #: Letters of other scripts and forms that look like Latin ones.
 HOMOGLYPHS = {
@@ -75,7 +76,12 @@ def score(text: str, automaton: ahocorasick.Automaton) -> float:
             heaviest[start] = max(weight, heaviest.get(start, 0.0))
         else:
             excused.append((start, at))
-    total = sum(w for start, w in heaviest.items() if not any(a <= start < b for a, b in excused))
+    total, reach, passed = 0.0, -1, 0
+    excused.sort()
+    for start, weight in sorted(heaviest.items()):  # both lists once: `reach` is where the phrases that began so far end
+        while passed < len(excused) and excused[passed][0] <= start:
+            reach, passed = max(reach, excused[passed][1]), passed + 1
+        total += weight if start >= reach else 0.0
     return 1 - math.exp(-total / (1 + len(folded.split()) / LONG)) if total else 0.0
 
 
@@ -90,8 +96,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 8000, most: int = 40
     It is fitted on at most `sample` labelled rows outside `held_out`, those whose ids hash lowest. Terms are counted by
     document and label, partly in each task, then by aggregation. A term stays if at least `support` toxic documents hold
     it, `precision` of its documents are toxic, and the log-likelihood ratio passes twice the logarithm of the number of terms, which chance
-    among so many rarely does. Its weight is the log-odds ratio, at most 6. The `most` with the highest ratio go to the
-    driver: that bounds the lexicon and what tasks are sent. A base term goes if less than `precision` of its labelled documents are toxic. Rows without label
+    among so many rarely does. Its weight is the log-odds ratio, at most 6. All of that is worked out where the counts are; the `most` with the highest ratio go to the
+    driver, with which it bounds the lexicon and what tasks are sent. A base term goes if less than `precision` of its labelled documents are toxic. Rows without label
     count for nothing; without labels the base terms are all.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -113,22 +119,21 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 8000, most: int = 40
     pairs = rows.mapInArrow(counted, "term string, toxic int, n long").groupBy("term").agg(
         F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("n"))), F.lit(0)).alias("pos"), F.coalesce(F.sum(F.when(F.col("toxic") == 0, F.col("n"))), F.lit(0)).alias("neg")
     )
-    first = F.col("term").isin("", *BASE_TERMS)
-    strong = pairs.where(first | (F.col("pos") >= support) & (F.col("pos") >= precision * (F.col("pos") + F.col("neg"))))
-    got = {r.term: (r.pos, r.neg) for r in strong.orderBy(~first, F.desc(F.col("pos") - F.col("neg")), "term").limit(10 * most + 1 + len(BASE_TERMS)).collect()}
-    all_pos, all_neg = got.pop("", (0, 0))
-    base = {term: weight for term, weight in BASE_TERMS.items() for pos, neg in [got.get(term, (0, 0))] if pos >= precision * (pos + neg)}
-    got = {term: n for term, n in got.items() if term not in BASE_TERMS or n[0] >= support and term in base}
+    counts = checkpointed(pairs)
+    whole = counts.where("term = ''").first()
+    all_pos, all_neg = (whole.pos, whole.neg) if whole else (0, 0)
+    precise = F.col("pos") >= precision * (F.col("pos") + F.col("neg"))
+    untrue = {r.term for r in counts.where(F.col("term").isin(*BASE_TERMS) & ~precise).collect()}
+    base = {term: weight for term, weight in BASE_TERMS.items() if term not in untrue}
     if not all_pos:
         return Lexicon(base)
-    least, ranked = 2 * math.log(max(2, len(got) * 20)), []
-    for term, (pos, neg) in got.items():
-        share = (pos + neg) / (all_pos + all_neg)
-        ratio = 2 * sum(n * math.log(n / (total * share)) for n, total in ((pos, all_pos), (neg, all_neg)) if n)
-        weight = math.log((pos + 0.5) / (all_pos + 1)) - math.log((neg + 0.5) / (all_neg + 1))
-        if ratio >= least and weight > 0:
-            ranked.append((-ratio, term, min(6.0, weight)))
-    return Lexicon(base | {term: weight for _, term, weight in sorted(ranked)[:most]})
+    strong = counts.where((F.col("term") != "") & (F.col("pos") >= support) & precise)
+    least = 2 * math.log(max(2, strong.count() * 20))
+    share = (F.col("pos") + F.col("neg")) / F.lit(float(all_pos + all_neg))
+    part = lambda n, total: F.when(F.col(n) > 0, F.col(n) * F.log(F.col(n) / (F.lit(float(total)) * share))).otherwise(0.0)
+    weight = F.log((F.col("pos") + 0.5) / (all_pos + 1)) - F.log((F.col("neg") + 0.5) / (all_neg + 1))
+    ranked = strong.select("term", (2 * (part("pos", all_pos) + part("neg", all_neg))).alias("ratio"), weight.alias("weight")).where((F.col("ratio") >= least) & (F.col("weight") > 0))
+    return Lexicon(base | {r.term: min(6.0, r.weight) for r in ranked.orderBy(F.desc("ratio"), "term").limit(most).collect()})
 
 
 def score_toxicity(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3) -> DataFrame:

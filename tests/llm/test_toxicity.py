@@ -59,3 +59,57 @@ def test_empty_tables(spark):
     docs, labels = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "doc_id long, toxic int")
     lexicon = learn(docs, labels)
     assert score_toxicity(docs, lexicon).count() == 0 and keep_clean(docs, lexicon).count() == 0
+
+
+def test_score_against_brute_force():
+    import re
+    from math import exp, isclose
+
+    random.seed(3)
+    parts = ["trash", "can", "clown", "class", "fish", "idiot", "vequmo", "vequ", "stupid", "easy", "est", "bracket", "loser"]
+    weights = {" idiot ": 3.0, " vequ": 2.0, " vequmo ": 4.5, " clown ": 1.0, " trash ": 1.5, " stupid ": 2.5, " los": 0.5, " loser ": 0.25}
+    phrases = ("trash can", "class clown", "clown fish", "stupid easy", "loser bracket", "can clown class clown")
+    automaton = Lexicon(weights, phrases).automaton()
+    for _ in range(400):
+        folded = fold(" ".join(random.choices(parts, k=random.randint(0, 25))))
+        spans = [(m.start(), m.start() + len(p) + 1) for p in phrases for m in re.finditer(f"(?= {p} )", folded)]
+        heaviest = {}
+        for term, weight in weights.items():
+            for m in re.finditer(f"(?={re.escape(term)})", folded):
+                heaviest[m.start()] = max(weight, heaviest.get(m.start(), 0))
+        total = sum(w for at, w in heaviest.items() if not any(a <= at < b for a, b in spans))
+        assert isclose(score(folded, automaton), 1 - exp(-total / (1 + len(folded.split()) / 2000)), abs_tol=1e-12)
+
+
+def test_many_excused_phrases_take_linear_time():
+    import time
+
+    automaton = Lexicon({" clown ": 4.0}).automaton()
+    began = time.perf_counter()
+    assert score("class clown " * 100_000, automaton) == 0 and time.perf_counter() - began < 20
+
+
+def test_learnt_weights_against_brute_force(spark):
+    from collections import Counter
+    from math import isclose, log
+
+    from plinth.llm.toxicity import BASE_TERMS, terms
+
+    random.seed(11)
+    words = [f"v{c}{i}x" for c in "abcde" for i in range(40)]
+    rows = [(d, " ".join(random.choices(words[:150] if d % 3 else words, k=60)) + (" grumpf" if d % 3 == 0 else "")) for d in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = learn(docs, spark.createDataFrame([(d, int(d % 3 == 0)) for d, _ in rows], "doc_id long, toxic int"), most=30).weights
+    known = [(t, d % 3 == 0) for d, t in rows if zlib.crc32(str(d).encode()) % 4 != 2]
+    pos, neg = (Counter(x for t, y in known if y == toxic for x in terms(fold(t))) for toxic in (True, False))
+    n_pos, n_neg = (sum(y == toxic for _, y in known) for toxic in (True, False))
+    strong = [t for t in pos if pos[t] >= 3 and pos[t] >= 0.95 * (pos[t] + neg[t])]
+    ranked = []
+    for t in strong:
+        share = (pos[t] + neg[t]) / (n_pos + n_neg)
+        ratio = 2 * sum(c * log(c / (n * share)) for c, n in ((pos[t], n_pos), (neg[t], n_neg)) if c)
+        weight = log((pos[t] + 0.5) / (n_pos + 1)) - log((neg[t] + 0.5) / (n_neg + 1))
+        if ratio >= 2 * log(max(2, len(strong) * 20)) and weight > 0:
+            ranked.append((-round(ratio, 9), t, min(6.0, weight)))
+    want = dict(BASE_TERMS) | {t: w for _, t, w in sorted(ranked)[:30]}
+    assert got.keys() == want.keys() and all(isclose(got[t], want[t], abs_tol=1e-9) for t in want) and " grumpf " in got
