@@ -19,7 +19,7 @@ from plinth.session import checkpointed
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 #: Rows in an Arrow batch that a task gives back.
 FLUSH = 100_000
-#: Stands for a null id: no document is larger.
+#: Stands for a null id where ids are compared: none is larger.
 NO_ID = 2**63 - 1
 
 
@@ -33,7 +33,7 @@ def lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
 def keyed(docs: DataFrame) -> DataFrame:
     """`key` (of the text), `d` (the id, null as the largest) and `text`, which null as empty."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.unhex(F.md5(text)).alias("key"), F.coalesce("doc_id", F.lit(NO_ID)).alias("d"), text.alias("text"))
+    return docs.select(F.unhex(F.md5(text)).alias("key"), F.coalesce("doc_id", F.lit(NO_ID)).alias("d"), text.alias("text"), F.col("doc_id").alias("doc_id"))
 
 
 def anchors(rows: DataFrame, gram: int, window: int) -> DataFrame:
@@ -78,7 +78,7 @@ def _extended(rows: DataFrame, half: int, window: int) -> DataFrame:
 
     A window that a text repeats is one row: its first place, and the others in `more`. So no window has more rows than there are texts.
     """
-    schema = "a long, b long, d long, place int, tag int, more array<int>"
+    schema = "a long, b long, d long, place int, tag long, more array<int>"
     arrow = to_arrow_schema(struct_of(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,7 +89,7 @@ def _extended(rows: DataFrame, half: int, window: int) -> DataFrame:
             a, b, place = (np.concatenate([h[i] for h in held]) for i in (0, 1, 3))
             held_rows = [len(h[0]) for h in held]
             d = np.repeat(np.array([h[2] for h in held], dtype=np.int64), held_rows)
-            tag = np.repeat(np.array([h[4] for h in held], dtype=np.int32), held_rows)
+            tag = np.repeat(np.array([h[4] for h in held], dtype=np.int64), held_rows)
             smaller = np.concatenate([h[5] for h in held])
             more = pa.array([x for h in held for x in h[6]], type=pa.list_(pa.int32()))
             held.clear()
@@ -118,8 +118,8 @@ def _extended(rows: DataFrame, half: int, window: int) -> DataFrame:
 
 
 def tagged(rows: DataFrame) -> DataFrame:
-    """`rows` of `keyed` with `tag`, 32 bits of the key, which tell the texts of one id apart."""
-    return rows.withColumn("tag", F.hash("key"))
+    """`rows` of `keyed` with `tag`, 64 bits of the key, which tell the texts of one id apart."""
+    return rows.withColumn("tag", F.xxhash64("key"))
 
 
 def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
@@ -157,7 +157,7 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
 
     A word goes if some `window` consecutive words around it also start in a document with a smaller `doc_id`. All windows are
     those of the input. Words are runs of characters other than a space and \\x09 to \\x0D. A null text has no words; a null
-    id is above all others, so it removes nothing. Rows that share an id do not remove each other's words; rows that
+    id is as high as an id can be, so it removes nothing. Rows that share an id do not remove each other's words; rows that
     repeat id and text give equal rows. Texts shorter than a window lose nothing. An empty table gives no rows.
     """
     places = repeated_windows(docs, window)
@@ -167,7 +167,7 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], []]
-            for d, text, copy, starts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc_id, text, copy, starts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = text.encode().split()
                 kept = words
                 if copy:
@@ -177,9 +177,9 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
                     np.add.at(steps, starts, 1)
                     np.add.at(steps, np.array(starts) + window, -1)
                     kept = [words[i] for i in np.flatnonzero(np.cumsum(steps[:-1]) == 0)]
-                for column, value in zip(out, (None if d == NO_ID else d, len(words), len(words) - len(kept), sha256(b" ".join(kept)).hexdigest()), strict=True):
+                for column, value in zip(out, (doc_id, len(words), len(words) - len(kept), sha256(b" ".join(kept)).hexdigest()), strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow)
 
-    every = tagged(keyed(docs)).select("d", "tag", "text").join(places, ["d", "tag"], "left").join(copies(docs).withColumn("copy", F.lit(True)), ["d", "tag"], "left")
-    return every.select("d", "text", "copy", "places").mapInArrow(run, struct_of(schema))
+    every = tagged(keyed(docs)).select("doc_id", "d", "tag", "text").join(places, ["d", "tag"], "left").join(copies(docs).withColumn("copy", F.lit(True)), ["d", "tag"], "left")
+    return every.select("doc_id", "text", "copy", "places").mapInArrow(run, struct_of(schema))

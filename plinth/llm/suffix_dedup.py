@@ -32,7 +32,7 @@ def _suffixes(rows: DataFrame, reach: int, members: bool) -> DataFrame:
     that share the gram and the nearer half after it (even), and of those that share the half before it (odd). A gram that very many texts have is parted by them.
     """
     near = 4 * (reach // 2 + 1)
-    schema = "c long, e long, tag int, d long, place int" if members else "part long, after binary, before binary, c long, e long, first long"
+    schema = "c long, e long, tag long, d long, place int" if members else "part long, after binary, before binary, c long, e long, first long"
     arrow = to_arrow_schema(struct_of(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,11 +180,11 @@ def find_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     `spans` lists start:stop (in words) of the stretches made of windows of `window` words that also stand in a document with a
     smaller `doc_id`, joined by commas where they touch or overlap; `n_repeated` counts the words in them, `other_ids` holds the smallest ids that
     have them. A copy of a text with a smaller id is one span. Words are runs of characters other than a space and \\x09 to
-    \\x0D. A null text has no words; a null id is above all others. Rows that share an id don't repeat each other; rows that repeat id
+    \\x0D. A null text has no words; a null id is as high as an id can be. Rows that share an id don't repeat each other; rows that repeat id
     and text give equal rows. Texts shorter than a window have no spans. An empty table gives no rows.
     """
     spans = repeated_spans(docs, window)
-    rows = docs.select(F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key"), F.coalesce("doc_id", F.lit(NO_ID)).alias("d"), word_count().alias("n_words"))
+    rows = docs.select(F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key"), F.coalesce("doc_id", F.lit(NO_ID)).alias("d"), F.col("doc_id").alias("doc_id"), word_count().alias("n_words"))
     least = first_of_copies(rows.select("key", "d"))
     whole = (F.col("d") > F.col("least")) & (F.col("n_words") >= window)
     merged = F.expr(
@@ -195,9 +195,9 @@ def find_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     merged = F.when(whole, F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("stop")))).otherwise(F.coalesce(merged, F.expr("cast(array() as array<struct<start:int,stop:int>>)")))
     others = F.when(whole, F.array("least")).otherwise(F.coalesce(F.array_distinct(F.transform("spans", lambda s: s["first"])), F.expr("cast(array() as array<bigint>)")))
     every = tagged(rows).alias("t").join(least.alias("l"), F.col("t.key") == F.col("l.key")).select("t.*", "least").join(spans, ["d", "tag"], "left")
-    every = every.select("d", "n_words", merged.alias("merged"), F.array_sort(others).alias("other_ids"))
+    every = every.select("doc_id", "n_words", merged.alias("merged"), F.array_sort(others).alias("other_ids"))
     return every.select(
-        F.when(F.col("d") != NO_ID, F.col("d")).alias("doc_id"),
+        "doc_id",
         "n_words",
         F.expr("aggregate(merged, 0L, (n, s) -> n + s.stop - s.start)").alias("n_repeated"),
         F.array_join(F.transform("merged", lambda s: F.concat_ws(":", s["start"].cast("string"), s["stop"].cast("string"))), ",").alias("spans"),

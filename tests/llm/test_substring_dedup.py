@@ -73,3 +73,15 @@ def test_repeated_spans_match_brute_force(spark):
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert dedup_substrings(docs).count() == 0 and find_repeats(docs).count() == 0
+
+
+def test_null_and_largest_ids(spark):
+    """Rows without an id are told apart by 64 bits of their text; an id of 2**63 - 1 comes back as it is."""
+    from plinth.llm.suffix_dedup import find_repeats
+
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = [(None, f"n{i} " * (i % 7 + 1) + text) for i in range(40)] + [(2**63 - 1, text + " end"), (5, "x " + text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.n_words): r.n_removed for r in dedup_substrings(docs, 50).collect()}
+    assert got[(5, 81)] == 0 and got[(2**63 - 1, 81)] == 80 and sum(d is None for d, _ in got) and all(v == 80 for (d, _), v in got.items() if d != 5)
+    assert {(r.doc_id, r.n_repeated) for r in find_repeats(docs, 50).collect()} == {(None, 80), (2**63 - 1, 80), (5, 0)}
