@@ -24,6 +24,10 @@ _U64 = np.uint64
 WIDTH = Fraction(3, 2)
 #: Coordinates of a tree's points: at least so many, about twice the mean set size, and at most so many numbers in all.
 LEAST_GROUPS, MOST_NUMBERS = 128, 1 << 23
+#: The count that stands for itself and all above it, where counts are stored in 16 bits.
+FULL = 65535
+#: Keys that a task combines at once.
+COMBINED = 1 << 21
 #: Coordinates of the box that tells which points need visit a chunk.
 BOX = 16
 #: Points of a key that are asked for in one task by their counts alone, 16 MB of them.
@@ -92,27 +96,87 @@ def group_keys(found: np.ndarray, least: Fraction) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, n: int, least: Fraction) -> DataFrame:
-    """`doc_id`, `k`, `size`, `f`, `g` (128 bits of the set), `keys`; a row for each row of `docs` (`doc_id`, `k`, `text`) that has words."""
-    schema = "doc_id long, k binary, size long, f long, g long, keys array<long>"
+    """`doc_id`, `k`, `size`, `f`, `g` (128 bits of the set), `counts` (of shingles in 128 groups), `keys`; a row for each row of `docs` (`doc_id`, `k`, `text`) that has words."""
+    schema = "doc_id long, k binary, size long, f long, g long, counts binary, keys array<long>"
     arrow = to_arrow_schema(struct_of(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, rolling = WordHashes(), Rolling(BASES[0])
         for batch in sliced(batches):
-            rows, keys, index = [], [], []
+            rows, counts, keys, index = [], [], [], []
             for i, text in enumerate(batch.column(2).to_pylist()):
                 found = shingles(text.encode().lower().split(), hashes, rolling, n)
                 if len(found):
+                    counts.append(np.minimum(np.bincount((found & _U64(LEAST_GROUPS - 1)).astype(np.int64), minlength=LEAST_GROUPS), FULL).astype(np.uint16).tobytes())
                     index.append(i)
                     rows.append((len(found), *(np.add.reduce(mixed(found ^ _U64(b))).view(np.int64).item() for b in BASES)))
                     keys.append(group_keys(found, least).view(np.int64))
             columns = [pa.array(c, type=pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * 3)]
             chosen = pa.array(index, type=pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen), *columns, lists(keys, pa.int64())], schema=arrow)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen), *columns, pa.array(counts, type=pa.binary()), lists(keys, pa.int64())], schema=arrow)
 
     return docs.select("doc_id", "k", "text").mapInArrow(run, struct_of(schema))
 
 
+def meetings(points: DataFrame) -> DataFrame:
+    """`key`, `p`, `lo`: the points (`p`, `keys`) of each key that several have, each with a smaller one of them, the smallest with itself.
+
+    Tasks combine first: of the points that have a key in one of their blocks only the smallest goes to the key's task, the others have met it. So a key that
+    very many points have sends a row for each block, not for each point.
+    """
+    first = to_arrow_schema(struct_of("key long, p long, lo long, several boolean"))
+    last = to_arrow_schema(struct_of("key long, p long, lo long"))
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush() -> pa.RecordBatch:
+            key, p = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((p, key))
+            key, p = key[order], p[order]
+            new = np.append(True, key[1:] != key[:-1])
+            starts = np.flatnonzero(new)
+            lo = p[starts][np.cumsum(new) - 1]
+            several = (np.diff(np.append(starts, len(key))) > 1)[np.cumsum(new) - 1]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(p), pa.array(lo), pa.array(several)], schema=first)
+
+        for batch in batches:
+            keys = batch.column(1)
+            held.append((keys.flatten().to_numpy(), np.repeat(batch.column(0).to_numpy(), np.diff(keys.offsets.to_numpy()))))
+            if sum(len(k) for k, _ in held) >= COMBINED:
+                yield flush()
+        if held:
+            yield flush()
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[np.ndarray] | None = None
+
+        def shared(key: np.ndarray, p: np.ndarray, several: np.ndarray) -> pa.RecordBatch:
+            new = np.append(True, key[1:] != key[:-1])
+            starts = np.flatnonzero(new)
+            at = np.cumsum(new) - 1
+            chosen = (np.diff(np.append(starts, len(key))) > 1)[at] | several
+            return pa.RecordBatch.from_arrays([pa.array(key[chosen]), pa.array(p[chosen]), pa.array(p[starts][at][chosen])], schema=last)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = [batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)]
+            now = [np.concatenate(x) for x in zip(rest, now, strict=True)] if rest else now
+            cut = int(np.searchsorted(now[0], now[0][-1]))
+            if cut:
+                yield shared(*(x[:cut] for x in now))
+            rest = [x[cut:] for x in now]
+        if rest:
+            yield shared(*rest)
+
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    combined = points.mapInArrow(combine, struct_of("key long, p long, lo long, several boolean"))
+    firsts = combined.where("p = lo").select("key", "p", "several").repartition(parts, "key").sortWithinPartitions("key", "p")
+    return firsts.mapInArrow(close, struct_of("key long, p long, lo long")).union(combined.where("p > lo").select("key", "p", "lo"))
+
+
 class CountTree:
     """A packed R-tree over count vectors. A node holds the largest count of each group and the smallest set size below it."""
 
@@ -163,8 +227,10 @@ class CountTree:
 
 
 def bound(counts: np.ndarray, other: np.ndarray, sizes: np.ndarray, size: int | np.ndarray, share: Fraction) -> np.ndarray:
-    """Whether sets with these counts can share enough: no more than the sum of the smaller counts is common to both."""
-    return np.minimum(counts, other).sum(axis=-1, dtype=np.int64) * share.denominator >= (sizes + size) * share.numerator
+    """Whether sets with these counts can share enough: no more than the sum of the smaller counts is common to both. A group that is full in both bounds nothing."""
+    smaller = np.minimum(counts, other)
+    enough = smaller.sum(axis=-1, dtype=np.int64) * share.denominator >= (sizes + size) * share.numerator
+    return enough | (smaller >= FULL).any(axis=-1) if other.dtype == np.uint16 and other.size and other.max() >= FULL else enough
 
 
 def common(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
@@ -278,12 +344,19 @@ def meet(rows: DataFrame, least: Fraction) -> DataFrame:
     return ordered.mapInArrow(run, struct_of(schema)).distinct()
 
 
+def counted(column: pa.BinaryArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, LEAST_GROUPS)
+
+
 def may_be_linked(rows: DataFrame, least: Fraction) -> DataFrame:
     """Pairs `u`, `v` of components, enough to connect all that hold points of one key (rows `key`, `p`, `size`, `comp`, `counts`) whose counts allow for a link."""
     schema, share = "u long, v long", least / (1 + least)
     arrow = to_arrow_schema(struct_of(schema))
 
     def one_key(ids: np.ndarray, sizes: np.ndarray, comps: np.ndarray, counts: np.ndarray) -> list[tuple[int, int]]:
+        if len(ids) == 2:
+            alone = comps[0] == comps[1] or not bound(counts[:1], counts[1], sizes[:1], sizes[1], share)[0]
+            return [] if alone else [(int(comps[0]), int(comps[1]))]
         tree, edges, waiting = CountTree(counts, sizes), [], []
         where = np.empty(len(ids), dtype=np.int64)
         where[tree.order] = np.arange(len(ids))
@@ -317,7 +390,7 @@ def may_be_linked(rows: DataFrame, least: Fraction) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            more = [*(batch.column(i).to_numpy() for i in range(4)), batch.column(4).flatten().to_numpy().astype(np.uint32).reshape(-1, LEAST_GROUPS)]
+            more = [*(batch.column(i).to_numpy() for i in range(4)), counted(batch.column(4))]
             held = [np.concatenate(x) for x in zip(held, more, strict=True)] if held else more
             last = int(np.searchsorted(held[0], held[0][-1]))
             if last and len(held[0]) >= 5_000:
@@ -331,26 +404,43 @@ def may_be_linked(rows: DataFrame, least: Fraction) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, needed: DataFrame, n: int) -> DataFrame:
-    """`p`, `size`, `grams`, `counts`, `box`: the whole sets of the points `needed` (`p`, `k`), made anew of their texts in `docs`, and how many shingles are in each of 128 and of 16 groups."""
-    schema = "p long, size long, grams binary, counts array<int>, box array<int>"
+    """`p`, `size`, `grams`, `box`: the whole sets of the points `needed` (`p`, `k`), made anew of their texts in `docs`, and how many shingles are in each of 16 groups."""
+    schema = "p long, size long, grams binary, box array<int>"
     arrow = to_arrow_schema(struct_of(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, rolling = WordHashes(), Rolling(BASES[0])
         for batch in sliced(batches):
             made = [shingles(t.encode().lower().split(), hashes, rolling, n) for t in batch.column(1).to_pylist()]
-            counts = [lists([np.bincount((s & _U64(groups - 1)).astype(np.int64), minlength=groups).astype(np.int32) for s in made], pa.int32()) for groups in (LEAST_GROUPS, BOX)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in made], type=pa.int64()), pa.array([s.tobytes() for s in made], type=pa.binary()), *counts], schema=arrow)
+            boxes = lists([np.bincount((s & _U64(BOX - 1)).astype(np.int64), minlength=BOX).astype(np.int32) for s in made], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in made], type=pa.int64()), pa.array([s.tobytes() for s in made], type=pa.binary()), boxes], schema=arrow)
+
+    needed = checkpointed(needed)
+    number = needed.count()
+    # few enough to send to every task; else texts are dealt out by their key
+    sets = checkpointed(docs.join(F.broadcast(needed) if number <= SENT else needed, "k").select("p", "text").mapInArrow(run, struct_of(schema)))
+    return checkpointed(sets.dropDuplicates(["p"])) if sets.count() > number else sets  # rows may repeat both id and text
+
+
+def near(pairs: DataFrame, points: DataFrame, least: Fraction) -> DataFrame:
+    """Those of the `pairs` (`u`, `v`) for which the sum of the smaller counts of the `points` (`p`, `size`, `counts`) allows for a link."""
+    share = least / (1 + least)
+    arrow = to_arrow_schema(struct_of("u long, v long"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 4096):
+            sizes = [batch.column(i).to_numpy() for i in (2, 3)]
+            x, y = counted(batch.column(4)), counted(batch.column(5))
+            chosen = pa.array(np.flatnonzero(bound(x, y, sizes[0], sizes[1], share)), type=pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen)], schema=arrow)
 
-    if needed.count() <= SENT:  # few enough to send to every task; else texts are dealt out by their key
-        needed = F.broadcast(needed)
-    return docs.join(needed, "k").select("p", "text").mapInArrow(run, struct_of(schema))
+    side = lambda end: points.select(F.col("p").alias(end), F.col("size").alias(f"size_{end}"), F.col("counts").alias(f"counts_{end}"))
+    return pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "size_u", "size_v", "counts_u", "counts_v").mapInArrow(run, struct_of("u long, v long"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
-    """Those of the `pairs` (`u`, `v`) whose whole sets are similar enough. Sets are sent only where the sum of the smaller counts allows for a link."""
+    """Those of the `pairs` (`u`, `v`) whose whole sets are similar enough."""
     arrow = to_arrow_schema(struct_of("u long, v long"))
-    share = least / (1 + least)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -362,10 +452,8 @@ def verified(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
             chosen = pa.array(np.flatnonzero(linked), type=pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen)], schema=arrow)
 
-    side = lambda end, *more: sets.select(F.col("p").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in more))
-    near = pairs.join(side("u", "size", "counts"), "u").join(side("v", "size", "counts"), "v").where(_may_link("counts_u", "counts_v", "size_u", "size_v", share))
-    near = checkpointed(near.select("u", "v"))
-    return near.join(side("u", "grams"), "u").join(side("v", "grams"), "v").select("u", "v", "grams_u", "grams_v").mapInArrow(compare, struct_of("u long, v long"))
+    side = lambda end: sets.select(F.col("p").alias(end), F.col("grams").alias(f"grams_{end}"))
+    return pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "grams_u", "grams_v").mapInArrow(compare, struct_of("u long, v long"))
 
 
 def _may_link(box: str, other: str, size: str, other_size: str, share: Fraction) -> Column:
@@ -376,8 +464,8 @@ def linked_components(docs: DataFrame, n: int = 3, threshold: str = "0.9", chunk
     """`doc_id`, `k`, `size`, `comp` for each row of `docs` (`doc_id`, `k`, `text`) that has words: `comp` is the same number for all rows that links connect.
 
     Equal sets are one point, which has the number of one of their rows. Shingles are dealt to groups. Points that hold the same shingles in some
-    group meet by its key, which linked points surely do (see `group_keys`). Of each key, first all others are compared with its smallest point: a
-    pair a row, and a pair once however many keys it has. That connects most. Then only keys are left at which several components
+    group meet by its key, which linked points surely do (see `group_keys`). Of each key, first each point is compared with a smaller one: a
+    pair a row, and a pair once however many keys it has; sets are sent only where counts allow for a link. That connects most. Then only keys are left at which several components
     still meet, keys with the same points once. There an R-tree over count vectors is asked for all whose summed smaller counts allow for a link; what was
     reached leaves the tree. So a key gives a forest, never all its pairs. Components that forests connect are a crowd, which meets in one task
     if its sets have `chunk` shingles at most: again a tree tells which may be linked, but now these are verified on whole sets in the task, and only
@@ -392,32 +480,32 @@ def linked_components(docs: DataFrame, n: int = 3, threshold: str = "0.9", chunk
     classes = checkpointed(rows.groupBy("f", "g").agg(F.min("r").alias("p")))
     member = checkpointed(rows.select("r", "doc_id", "k", "size", "f", "g").join(classes, ["f", "g"]).select("r", "doc_id", "k", "size", "p"))
     again = member.where("r <> p").select("r")
-    points = rows.join(F.broadcast(again) if again.count() <= SENT else again, "r", "left_anti")
-    keys = points.select(F.col("r").alias("p"), F.explode("keys").alias("key"))
-    shared = checkpointed(keys.groupBy("key").agg(F.min("p").alias("lo"), F.count("*").alias("n")).where("n > 1").select("key", "lo"))
-    met = checkpointed(keys.join(shared, "key").select("key", "p", "lo"))
-    chosen = checkpointed(met.select("p").distinct().join(member.where("r = p").select("p", "k", "size"), "p"))
-    sets = checkpointed(sets_of(docs, chosen.select("p", "k"), n))
-    if sets.count() > chosen.count():  # rows that repeat both id and text
-        sets = checkpointed(sets.dropDuplicates(["p"]))
-
-    stars = checkpointed(met.where("lo < p").select(F.col("lo").alias("u"), F.col("p").alias("v")).distinct())
+    few = again.count() <= SENT
+    points = rows.join(F.broadcast(again) if few else again, "r", "left_anti").withColumnRenamed("r", "p")
+    points = points if few else checkpointed(points)  # `meetings` walks them twice, in the same order
+    met = checkpointed(meetings(points.select("p", "keys")))
+    vectors = points.select("p", "size", "counts")
+    known = member.where("r = p").select("p", "k")
+
+    stars = checkpointed(near(met.where("lo < p").select(F.col("lo").alias("u"), F.col("p").alias("v")).distinct(), vectors, least))
+    sets = sets_of(docs, stars.select(F.explode(F.array("u", "v")).alias("p")).distinct().join(known, "p"), n)
     own = member.where("doc_id is not null").select("doc_id", "p").distinct()
     several = own.groupBy("doc_id").agg(F.min("p").alias("u"), F.max("p").alias("last")).where("u < last").select("doc_id", "u")
     alike = own.join(several, "doc_id").where("u < p").select("u", F.col("p").alias("v"))
     comps = checkpointed(connected_components(verified(stars, sets, least).union(alike), "u", "v"))
 
     named = met.join(comps.withColumnsRenamed({"node": "p", "component": "comp"}), "p", "left").withColumn("comp", F.coalesce("comp", "p"))
-    named = checkpointed(named.join(chosen.select("p", "size", F.greatest("size", F.lit(LEAST_GROUPS // 2)).alias("weight")), "p"))
+    named = checkpointed(named.join(member.where("r = p").select("p", "size", F.greatest("size", F.lit(LEAST_GROUPS // 2)).alias("weight")), "p"))
     open_keys = named.groupBy("key").agg(
         F.min("comp").alias("a"), F.max("comp").alias("b"), F.min_by("comp", "p").alias("home"), F.sum("weight").alias("total"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("p")).alias("x"), F.bit_xor(F.xxhash64("p", F.lit(1))).alias("y")
     )
     open_keys = open_keys.where("a < b and n > 2").groupBy("n", "x", "y").agg(F.min("key").alias("key"), F.first("home").alias("home"), F.first("total").alias("total"))
-    still = checkpointed(named.join(checkpointed(open_keys), "key").select("key", "p", "lo", "size", "comp", "weight", "home", "total", "n"))
-    asked = may_be_linked(still.where(F.col("n") <= POINTS).select("key", "p", "size", "comp").join(sets.select("p", "counts"), "p"), least)
+    still = checkpointed(named.join(checkpointed(open_keys), "key").select("key", "p", "size", "comp", "weight", "home", "total", "n"))
+    asked = may_be_linked(still.where(F.col("n") <= POINTS).select("key", "p", "size", "comp").join(vectors.select("p", "counts"), "p"), least)
     asked = asked.union(still.where((F.col("n") > POINTS) & (F.col("comp") != F.col("home"))).select(F.least("home", "comp"), F.greatest("home", "comp")))
     crowd = checkpointed(connected_components(asked, "u", "v")).select(F.col("node").alias("comp"), F.col("component").alias("crowd"))
     still = checkpointed(still.join(crowd, "comp"))
+    sets = sets_of(docs, still.select("p").distinct().join(known, "p"), n)
     inside = checkpointed(still.select("crowd", "p", "comp", "weight").distinct())
     small = checkpointed(inside.groupBy("crowd").agg(F.sum("weight").alias("all")).where(F.col("all") <= chunk).select("crowd"))
     inside = inside.join(small, "crowd").select(F.col("crowd").alias("key"), F.lit(0).alias("chunk"), "p", "comp")

@@ -132,6 +132,29 @@ def test_crowds(spark):
             assert sorted(map(tuple, link_documents(docs, chunk=chunk).collect()), key=str) == brute(rows)
 
 
+def test_full_groups_prune_no_copies():
+    counts = np.full((3, 128), 65535, dtype=np.uint16)  # of sets with 70,000 hashes in each group
+    counts[2] = 100
+    sizes, share = np.array([70_000 * 128, 70_000 * 128, 12_800]), Fraction(9, 19)
+    assert bound(counts, counts[0], sizes, int(sizes[0]), share).tolist() == [True, True, False]
+    assert sorted(CountTree(counts, sizes).near(counts[0], int(sizes[0]), share)) == [0, 1]
+
+
+def test_meetings(spark, monkeypatch):
+    import plinth.llm.jaccard_join as module
+
+    random.seed(2)
+    rows = [(p, [random.randrange(60) for _ in range(random.randint(0, 4))] + [1000 + p, 99][: 1 + (p % 3 == 0)]) for p in range(150)]
+    rows = [(p, sorted(set(k))) for p, k in rows]
+    points = spark.createDataFrame(rows, "p long, keys array<long>").repartition(5)
+    want = {(k, p) for p, keys in rows for k in keys if sum(k in other for _, other in rows) > 1}
+    for combined in (1, 50, 1 << 21):
+        monkeypatch.setattr(module, "COMBINED", combined)
+        got = module.meetings(points).collect()
+        assert len(got) == len(want) and {(r.key, r.p) for r in got} == want and all((r.key, r.lo) in want and r.lo <= r.p for r in got)
+        assert sum(r.lo == r.p for r in got) == len({k for k, _ in want}) or combined < 1 << 21
+
+
 def test_tree_finds_what_a_scan_finds():
     r = np.random.default_rng(2)
     counts = r.poisson(6, (3000, 32)).astype(np.uint16)
