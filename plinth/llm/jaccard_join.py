@@ -467,11 +467,11 @@ def linked_components(docs: DataFrame, n: int = 3, threshold: str = "0.9", chunk
     group meet by its key, which linked points surely do (see `group_keys`). Of each key, first each point is compared with a smaller one: a
     pair a row, and a pair once however many keys it has; sets are sent only where counts allow for a link. That connects most. Then only keys are left at which several components
     still meet, keys with the same points once. There an R-tree over count vectors is asked for all whose summed smaller counts allow for a link; what was
-    reached leaves the tree. So a key gives a forest, never all its pairs. Components that forests connect are a crowd, which meets in one task
-    if its sets have `chunk` shingles at most: again a tree tells which may be linked, but now these are verified on whole sets in the task, and only
-    what is linked leaves the tree. So nothing is left to a further round. Larger crowds meet so key by key. A key whose sets have over `chunk` shingles is dealt out in chunks. Each is the lowest
-    level of a larger tree, whose upper level is a table of the chunks' boxes: a point outside the component of the key's smallest point goes to
-    those chunks whose box allows for a link.
+    reached leaves the tree. So a key gives a forest, never all its pairs. Components that forests connect are a crowd, which meets once: again
+    a tree tells which may be linked, but now these are verified on whole sets in the task, and only
+    what is linked leaves the tree. So nothing is left to a further round. A crowd so large that it would be sent more often than its keys ask for meets key by key. A crowd or key whose sets have over `chunk` shingles is dealt out in chunks. Each is the lowest
+    level of a larger tree, whose upper level is a table of the chunks' boxes: a point outside one component, the crowd's largest, goes to
+    those other chunks whose box allows for a link.
     """
     least = Fraction(threshold)
     share = least / (1 + least)
@@ -495,7 +495,7 @@ def linked_components(docs: DataFrame, n: int = 3, threshold: str = "0.9", chunk
     comps = checkpointed(connected_components(verified(stars, sets, least).union(alike), "u", "v"))
 
     named = met.join(comps.withColumnsRenamed({"node": "p", "component": "comp"}), "p", "left").withColumn("comp", F.coalesce("comp", "p"))
-    named = checkpointed(named.join(member.where("r = p").select("p", "size", F.greatest("size", F.lit(LEAST_GROUPS // 2)).alias("weight")), "p"))
+    named = checkpointed(named.drop("lo").join(member.where("r = p").select("p", "size", F.greatest("size", F.lit(LEAST_GROUPS // 2)).alias("weight")), "p"))
     open_keys = named.groupBy("key").agg(
         F.min("comp").alias("a"), F.max("comp").alias("b"), F.min_by("comp", "p").alias("home"), F.sum("weight").alias("total"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("p")).alias("x"), F.bit_xor(F.xxhash64("p", F.lit(1))).alias("y")
     )
@@ -507,13 +507,16 @@ def linked_components(docs: DataFrame, n: int = 3, threshold: str = "0.9", chunk
     still = checkpointed(still.join(crowd, "comp"))
     sets = sets_of(docs, still.select("p").distinct().join(known, "p"), n)
     inside = checkpointed(still.select("crowd", "p", "comp", "weight").distinct())
-    small = checkpointed(inside.groupBy("crowd").agg(F.sum("weight").alias("all")).where(F.col("all") <= chunk).select("crowd"))
-    inside = inside.join(small, "crowd").select(F.col("crowd").alias("key"), F.lit(0).alias("chunk"), "p", "comp")
-    # crowds too large for one task: key by key
-    wide = still.join(small, "crowd", "left_anti").withColumn("chunks", F.ceil(F.col("total") / F.lit(chunk)).cast("int"))
-    wide = checkpointed(wide.select("key", F.pmod(F.xxhash64("p"), F.col("chunks")).cast("int").alias("chunk"), "p", "comp", "home", "chunks"))
-    at_home = inside.union(wide.select("key", "chunk", "p", "comp")).join(sets.select("p", "grams"), "p").select("key", "chunk", F.lit(False).alias("guest"), "p", "comp", "grams")
-    parted = wide.where("chunks > 1")
+    # what it takes to send each point once, or again to each other chunk, and what to send it once for each of its keys
+    whole = inside.groupBy("crowd", "comp").agg(F.sum("weight").alias("own")).groupBy("crowd").agg(F.sum("own").alias("all"), F.max_by("comp", F.struct("own", "comp")).alias("home"))
+    whole = whole.join(still.groupBy("crowd").agg(F.sum("weight").alias("by_key")), "crowd").withColumn("chunks", F.ceil(F.col("all") / F.lit(chunk)).cast("int"))
+    whole = checkpointed(whole.where((F.col("chunks") == 1) | (F.col("chunks") * F.col("all") <= F.col("by_key"))).select("crowd", "home", "chunks"))
+    of_chunks = F.pmod(F.xxhash64("p"), F.col("chunks")).cast("int").alias("chunk")
+    inside = inside.join(whole, "crowd").select(F.col("crowd").alias("key"), of_chunks, "p", "comp", "home", "chunks")
+    by_key = still.join(whole.select("crowd"), "crowd", "left_anti").withColumn("chunks", F.ceil(F.col("total") / F.lit(chunk)).cast("int"))
+    dealt = checkpointed(inside.union(by_key.select("key", of_chunks, "p", "comp", "home", "chunks")))
+    at_home = dealt.join(sets.select("p", "grams"), "p").select("key", "chunk", F.lit(False).alias("guest"), "p", "comp", "grams")
+    parted = dealt.where("chunks > 1")
     if parted.limit(1).count():
         large = checkpointed(parted.join(sets, "p"))
         boxes = checkpointed(large.groupBy("key", "chunk").agg(F.min("size").alias("least_size"), F.array(*(F.max(F.col("box")[i]) for i in range(BOX))).alias("upper")))
