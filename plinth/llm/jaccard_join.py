@@ -30,12 +30,12 @@ FULL = 65535
 COMBINED = 1 << 21
 #: Coordinates of the box that tells which points need visit a chunk.
 BOX = 16
-#: Points of a key that are asked for in one task by their counts alone, 16 MB of them.
-POINTS = 1 << 15
+#: Shingles of the sets of a key whose points are asked for in one task by their counts alone, at most a byte for each.
+POINTS = 1 << 23
 #: Points in a leaf of the tree, and nodes below a node.
 LEAF, FANOUT = 64, 16
 #: Shingles of sets that meet in one task, and shingles that are compared at once.
-CHUNK, BLOCK = 1 << 20, 1 << 21
+CHUNK, BLOCK = 1 << 22, 1 << 21
 #: Ids that may be sent to every task: 24 bytes each, so 24 MB at most.
 SENT = 1 << 20
 
@@ -95,8 +95,21 @@ def group_keys(found: np.ndarray, least: Fraction) -> np.ndarray:
         low, high = size_class(high + 1)
 
 
+def groups_for(size: int) -> int:
+    """Groups that the shingles of a set are counted in: some 2 to 4 shingles each, as sums of smaller counts tell little of full groups."""
+    groups = LEAST_GROUPS
+    while 4 * groups < size:
+        groups *= 2
+    return groups
+
+
+def folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    """Counts (rows) in fewer groups. A sum that is too large for them stays at FULL."""
+    return counts if counts.shape[1] == groups else np.minimum(counts.reshape(len(counts), -1, groups).sum(axis=1, dtype=np.int64), FULL).astype(np.uint16)
+
+
 def profiles(docs: DataFrame, n: int, least: Fraction) -> DataFrame:
-    """`doc_id`, `k`, `size`, `f`, `g` (128 bits of the set), `counts` (of shingles in 128 groups), `keys`; a row for each row of `docs` (`doc_id`, `k`, `text`) that has words."""
+    """`doc_id`, `k`, `size`, `f`, `g` (128 bits of the set), `counts` (of shingles in groups), `keys`; a row for each row of `docs` (`doc_id`, `k`, `text`) that has words."""
     schema = "doc_id long, k binary, size long, f long, g long, counts binary, keys array<long>"
     arrow = to_arrow_schema(struct_of(schema))
 
@@ -107,7 +120,8 @@ def profiles(docs: DataFrame, n: int, least: Fraction) -> DataFrame:
             for i, text in enumerate(batch.column(2).to_pylist()):
                 found = shingles(text.encode().lower().split(), hashes, rolling, n)
                 if len(found):
-                    counts.append(np.minimum(np.bincount((found & _U64(LEAST_GROUPS - 1)).astype(np.int64), minlength=LEAST_GROUPS), FULL).astype(np.uint16).tobytes())
+                    groups = groups_for(len(found))
+                    counts.append(np.minimum(np.bincount((found & _U64(groups - 1)).astype(np.int64), minlength=groups), FULL).astype(np.uint16).tobytes())
                     index.append(i)
                     rows.append((len(found), *(np.add.reduce(mixed(found ^ _U64(b))).view(np.int64).item() for b in BASES)))
                     keys.append(group_keys(found, least).view(np.int64))
@@ -344,8 +358,10 @@ def meet(rows: DataFrame, least: Fraction) -> DataFrame:
     return ordered.mapInArrow(run, struct_of(schema)).distinct()
 
 
-def counted(column: pa.BinaryArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, LEAST_GROUPS)
+def counted(values: list[bytes]) -> np.ndarray:
+    """Counts of several sets in as many groups as the smallest of them has."""
+    width = min(len(v) for v in values)
+    return np.concatenate([folded(np.frombuffer(v, dtype=np.uint16).reshape(1, -1), width // 2) for v in values])
 
 
 def may_be_linked(rows: DataFrame, least: Fraction) -> DataFrame:
@@ -353,7 +369,8 @@ def may_be_linked(rows: DataFrame, least: Fraction) -> DataFrame:
     schema, share = "u long, v long", least / (1 + least)
     arrow = to_arrow_schema(struct_of(schema))
 
-    def one_key(ids: np.ndarray, sizes: np.ndarray, comps: np.ndarray, counts: np.ndarray) -> list[tuple[int, int]]:
+    def one_key(ids: np.ndarray, sizes: np.ndarray, comps: np.ndarray, values: np.ndarray) -> list[tuple[int, int]]:
+        counts = counted(values)
         if len(ids) == 2:
             alone = comps[0] == comps[1] or not bound(counts[:1], counts[1], sizes[:1], sizes[1], share)[0]
             return [] if alone else [(int(comps[0]), int(comps[1]))]
@@ -380,9 +397,9 @@ def may_be_linked(rows: DataFrame, least: Fraction) -> DataFrame:
         return edges
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(key: np.ndarray, ids: np.ndarray, sizes: np.ndarray, comps: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        def pairs(key: np.ndarray, ids: np.ndarray, sizes: np.ndarray, comps: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
             cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            edges = [e for a, b in zip(cuts, np.append(cuts[1:], len(key)), strict=True) if b > a + 1 for e in one_key(ids[a:b], sizes[a:b], comps[a:b], counts[a:b])]
+            edges = [e for a, b in zip(cuts, np.append(cuts[1:], len(key)), strict=True) if b > a + 1 for e in one_key(ids[a:b], sizes[a:b], comps[a:b], values[a:b])]
             both = np.unique(np.sort(np.array(edges, dtype=np.int64).reshape(-1, 2), axis=1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=arrow)
 
@@ -390,7 +407,7 @@ def may_be_linked(rows: DataFrame, least: Fraction) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            more = [*(batch.column(i).to_numpy() for i in range(4)), counted(batch.column(4))]
+            more = [*(batch.column(i).to_numpy() for i in range(4)), batch.column(4).to_numpy(zero_copy_only=False)]
             held = [np.concatenate(x) for x in zip(held, more, strict=True)] if held else more
             last = int(np.searchsorted(held[0], held[0][-1]))
             if last and len(held[0]) >= 5_000:
@@ -428,10 +445,16 @@ def near(pairs: DataFrame, points: DataFrame, least: Fraction) -> DataFrame:
     arrow = to_arrow_schema(struct_of("u long, v long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, 4096):
+        for batch in sliced(batches, 2048):
             sizes = [batch.column(i).to_numpy() for i in (2, 3)]
-            x, y = counted(batch.column(4)), counted(batch.column(5))
-            chosen = pa.array(np.flatnonzero(bound(x, y, sizes[0], sizes[1], share)), type=pa.int64())
+            x, y = (batch.column(i).to_pylist() for i in (4, 5))
+            widths = np.array([min(len(a), len(b)) // 2 for a, b in zip(x, y, strict=True)], dtype=np.int64)
+            close = np.zeros(len(widths), dtype=bool)
+            for width in np.unique(widths):
+                at = np.flatnonzero(widths == width)
+                one, other = (np.concatenate([folded(np.frombuffer(side[i], dtype=np.uint16).reshape(1, -1), width) for i in at]) for side in (x, y))
+                close[at] = bound(one, other, sizes[0][at], sizes[1][at], share)
+            chosen = pa.array(np.flatnonzero(close), type=pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen)], schema=arrow)
 
     side = lambda end: points.select(F.col("p").alias(end), F.col("size").alias(f"size_{end}"), F.col("counts").alias(f"counts_{end}"))
@@ -495,14 +518,14 @@ def linked_components(docs: DataFrame, n: int = 3, threshold: str = "0.9", chunk
     comps = checkpointed(connected_components(verified(stars, sets, least).union(alike), "u", "v"))
 
     named = met.join(comps.withColumnsRenamed({"node": "p", "component": "comp"}), "p", "left").withColumn("comp", F.coalesce("comp", "p"))
-    named = checkpointed(named.drop("lo").join(member.where("r = p").select("p", "size", F.greatest("size", F.lit(LEAST_GROUPS // 2)).alias("weight")), "p"))
+    named = checkpointed(named.drop("lo").join(member.where("r = p").select("p", "size", F.greatest("size", F.lit(2 * LEAST_GROUPS)).alias("weight")), "p"))
     open_keys = named.groupBy("key").agg(
         F.min("comp").alias("a"), F.max("comp").alias("b"), F.min_by("comp", "p").alias("home"), F.sum("weight").alias("total"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("p")).alias("x"), F.bit_xor(F.xxhash64("p", F.lit(1))).alias("y")
     )
     open_keys = open_keys.where("a < b and n > 2").groupBy("n", "x", "y").agg(F.min("key").alias("key"), F.first("home").alias("home"), F.first("total").alias("total"))
     still = checkpointed(named.join(checkpointed(open_keys), "key").select("key", "p", "size", "comp", "weight", "home", "total", "n"))
-    asked = may_be_linked(still.where(F.col("n") <= POINTS).select("key", "p", "size", "comp").join(vectors.select("p", "counts"), "p"), least)
-    asked = asked.union(still.where((F.col("n") > POINTS) & (F.col("comp") != F.col("home"))).select(F.least("home", "comp"), F.greatest("home", "comp")))
+    asked = may_be_linked(still.where(F.col("total") <= POINTS).select("key", "p", "size", "comp").join(vectors.select("p", "counts"), "p"), least)
+    asked = asked.union(still.where((F.col("total") > POINTS) & (F.col("comp") != F.col("home"))).select(F.least("home", "comp"), F.greatest("home", "comp")))
     crowd = checkpointed(connected_components(asked, "u", "v")).select(F.col("node").alias("comp"), F.col("component").alias("crowd"))
     still = checkpointed(still.join(crowd, "comp"))
     sets = sets_of(docs, still.select("p").distinct().join(known, "p"), n)

@@ -169,3 +169,14 @@ def test_tree_finds_what_a_scan_finds():
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert link_documents(docs).count() == 0 and keep_one_of_each(docs).count() == 0
+
+
+def test_folded_counts_bound_as_well():
+    from plinth.llm.jaccard_join import counted, folded, groups_for
+
+    r = np.random.default_rng(5)
+    a = np.unique(r.integers(0, 2**63, 3000, dtype=np.uint64))
+    made = {g: np.bincount((a & np.uint64(g - 1)).astype(int), minlength=g).astype(np.uint16) for g in (128, 512, 1024)}
+    assert groups_for(3000) == 1024 and groups_for(100) == 128
+    assert (folded(made[1024][None], 128)[0] == made[128]).all() and (counted([made[512].tobytes(), made[1024].tobytes()])[1] == made[512]).all()
+    assert folded(np.full((1, 256), 65000, dtype=np.uint16), 128).max() == 65535
