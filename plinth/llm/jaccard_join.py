@@ -27,7 +27,7 @@ LEAST_GROUPS, MOST_NUMBERS = 128, 1 << 23
 #: The count that stands for itself and all above it, where counts are stored in 16 bits.
 FULL = 65535
 #: Keys that a task combines at once.
-COMBINED = 1 << 21
+COMBINED = 1 << 19
 #: Coordinates of the box that tells which points need visit a chunk.
 BOX = 16
 #: Shingles of the sets of a key whose points are asked for in one task by their counts alone, at most a byte for each.

@@ -18,7 +18,7 @@ from plinth.llm.arrow import sliced, struct_of
 #: Sequence lengths, the longest first. Each is a power of two, so a full sequence of any tier needs no padding.
 TIERS = (2048, 1024, 512, 256)
 #: Words whose ids a task remembers; beyond it starts anew.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 350_000
 #: Documents whose pieces are packed together; what is open then goes on to the next.
 BLOCK = 512
 

@@ -8,7 +8,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 
 _U64 = np.uint64
 #: Words whose hashes a task remembers; beyond it starts anew.
-CACHED_WORDS = 150_000
+CACHED_WORDS = 100_000
 
 
 class WordHashes(dict):
