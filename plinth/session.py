@@ -29,10 +29,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 def checkpointed(df: DataFrame) -> DataFrame:
     """`df` written to the folder named by spark.checkpoint.dir and read back, so that its lineage ends there.
 
-    A folder of our own is set only where the session names none, as in tests on one machine.
+    A folder of our own is set only where the session names none and all runs on one machine, as in tests; a cluster without one is an error.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "plinth-checkpoints"))
     return df.checkpoint(eager=True)
