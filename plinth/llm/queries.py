@@ -10,6 +10,7 @@ from plinth.llm.exact_dedup import exact_dedup
 from plinth.llm.jaccard_join import link_documents
 from plinth.llm.licenses import GAP, LEAST, NOTICES, PHRASES, scan_licenses, verified_licenses
 from plinth.llm.mixing import mix
+from plinth.llm.oracles import OP8_SQL, OP10_SQL
 from plinth.llm.packing import default_tokenizer, pack
 from plinth.llm.pii import find_pii
 from plinth.llm.spotsigs import fingerprint_documents
@@ -56,11 +57,12 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(_documents(spark, sf_dir))
+    return verified_licenses(_documents(spark, sf_dir))
 
 
-def op9_verified_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return verified_licenses(_documents(spark, sf_dir))
+def license_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the votes of op9 tell before spans are verified: SQL can state that much."""
+    return scan_licenses(_documents(spark, sf_dir))
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,8 +80,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_packing": op7_packing,
         "op8_jaccard_join": op8_jaccard_join,
         "op9_licenses": op9_licenses,
-        "op9_verified_licenses": op9_verified_licenses,
         "op10_substring_dedup": op10_substring_dedup,
+        "license_votes": license_votes,
     }
 
 
@@ -126,7 +128,7 @@ _TEMPLATES = ", ".join(
     for at, (a, b) in enumerate(zip(words, words[1:], strict=False))
 )
 
-OP9_SQL = rf"""
+VOTES_SQL = rf"""
 WITH docs AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
 words AS (SELECT row, unnest(words) AS a, generate_subscripts(words, 1) - 1 AS pos FROM docs),
 grams AS (SELECT row, pos, a, lead(a) OVER (PARTITION BY row ORDER BY pos) AS b FROM words),
@@ -148,4 +150,4 @@ FROM docs LEFT JOIN found USING (row)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op9_licenses": OP9_SQL}
+    return {"op1_mixing": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op8_jaccard_join": OP8_SQL, "op10_substring_dedup": OP10_SQL, "license_votes": VOTES_SQL}
