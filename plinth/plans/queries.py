@@ -79,16 +79,17 @@ def s3_wkt_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("original_index", F.size("geom").alias("n_parts"), (F.col("again") == F.col("geom")).alias("same"))
 
 
-def _projection_sql() -> str:
+def _projection_sql(places: str) -> str:
+    """`id`, `x`, `y` in metres of `places` (`id`, `lat0`, `lon0`)."""
     e = (G._F * (2 - G._F)) ** 0.5
     north = " + ".join(["xi", *[f"{a!r}*sin({2 * k}*xi)*cosh({2 * k}*eta)" for k, a in enumerate(G._ALPHA, 1)]])
     east = " + ".join(["eta", *[f"{a!r}*cos({2 * k}*xi)*sinh({2 * k}*eta)" for k, a in enumerate(G._ALPHA, 1)]])
-    return f"""WITH w AS ({bf.WAYS_SQL}), t AS (SELECT id, sinh(atanh(sin(radians(lat0))) - {e!r}*atanh({e!r}*sin(radians(lat0)))) AS t, radians(lon0 - 33) AS l FROM w),
+    return f"""WITH w AS ({places}), t AS (SELECT id, sinh(atanh(sin(radians(lat0))) - {e!r}*atanh({e!r}*sin(radians(lat0)))) AS t, radians(lon0 - 33) AS l FROM w),
     s AS (SELECT id, atan2(t, cos(l)) AS xi, atanh(sin(l)/sqrt(1+t*t)) AS eta FROM t)
     SELECT id, round(500000 + {G._K0 * G._RADIUS!r}*({east}), 3) AS x, round({G._K0 * G._RADIUS!r}*({north}), 3) AS y FROM s"""
 
 
-@_register("g1_projection", _projection_sql())
+@_register("g1_projection", _projection_sql(bf.WAYS_SQL))
 def g1_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bf._run(spark, sf_dir, bf.WAYS_SQL).select("id", G.project_point(F.col("lon0"), F.col("lat0")).alias("p"))
     return _rounded(rows.select("id", "p.x", "p.y"), 3)
@@ -207,15 +208,60 @@ def a3_fused_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heights.collect_estimates(a, b, comps).select("component_id", "height_b", "stairs_b", "avg_floor_height", "gkh_floor_max", "gkh_floor_min", "purpose", "area_m2", "is_default_height")
 
 
-@_register("j4_second_pass")
+def _outline_distance(a: str, b: str) -> str:
+    """The largest distance of a corner of rectangle `a` to the outline of rectangle `b`."""
+    corners = [(f"{a}.x0{dx}", f"{a}.y0{dy}") for dx in ("", f"+{a}.w") for dy in ("", f"+{a}.h")]
+    outside = "sqrt(pow(greatest({b}.x0 - ({x}), ({x}) - {b}.x0 - {b}.w, 0), 2) + pow(greatest({b}.y0 - ({y}), ({y}) - {b}.y0 - {b}.h, 0), 2))"
+    inside = "least(({x}) - {b}.x0, {b}.x0 + {b}.w - ({x}), ({y}) - {b}.y0, {b}.y0 + {b}.h - ({y}))"
+    return "greatest(" + ", ".join(f"greatest({outside}, {inside})".format(b=b, x=x, y=y) for x, y in corners) + ")"
+
+
+# pairs are walked in order; two of near centres, like areas and near outlines must hold
+SECOND = f"""kinds AS (SELECT component_id FROM comps GROUP BY component_id HAVING min(source) = max(source)),
+  open_a AS (SELECT f.* FROM fx_a f JOIN comps c ON c.source = 'A' AND c.original_index = f.gid JOIN kinds USING (component_id)),
+  open_b AS (SELECT f.* FROM fx_b f JOIN comps c ON c.source = 'B' AND c.original_index = f.gid JOIN kinds USING (component_id)),
+  fits AS (
+    SELECT p.gid AS i, q.gid AS j, ({_overlap('p', 'q')}) / (p.w*p.h + q.w*q.h - ({_overlap('p', 'q')})) AS iou, row_number() OVER (ORDER BY p.gid, q.gid) AS n
+    FROM open_a p JOIN open_b q ON sqrt(pow(p.x0+p.w/2-q.x0-q.w/2, 2) + pow(p.y0+p.h/2-q.y0-q.h/2, 2)) <= 45
+      AND (sqrt(pow(p.x0+p.w/2-q.x0-q.w/2, 2) + pow(p.y0+p.h/2-q.y0-q.h/2, 2)) <= 15)::INT + (greatest(p.w*p.h, q.w*q.h) <= 2 * least(p.w*p.h, q.w*q.h))::INT
+        + (greatest({_outline_distance('p', 'q')}, {_outline_distance('q', 'p')}) <= 5)::INT >= 2),
+  walk(n, taken, us, vs) AS (
+    SELECT 0::BIGINT, FALSE, []::BIGINT[], []::BIGINT[]
+    UNION ALL
+    SELECT f.n, NOT (list_contains(us, f.i) OR list_contains(vs, f.j)),
+           CASE WHEN list_contains(us, f.i) OR list_contains(vs, f.j) THEN us ELSE list_append(us, f.i) END,
+           CASE WHEN list_contains(us, f.i) OR list_contains(vs, f.j) THEN vs ELSE list_append(vs, f.j) END
+    FROM walk w JOIN fits f ON f.n = w.n + 1),
+  second AS (SELECT f.i, f.j, f.iou FROM fits f JOIN walk w ON f.n = w.n AND w.taken)"""
+
+
+@_register("j4_second_pass", f"WITH RECURSIVE {FX}, {COMPONENTS}, {SECOND} SELECT i, j, round(iou, 6) AS iou, 0::DOUBLE AS coverage FROM second")
 def j4_second_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b, _, comps = _first_pass(spark, sf_dir)
     return _rounded(matching.second_pass(a, b, comps))
 
 
-@_register("p5_matching_stats")
+def _clusters_sql(name: str) -> str:
+    """The links inside a source, and the size of each cluster that they connect."""
+    return f"""inner_{name} AS ({_inner(f'fx_{name}')}), ways_{name} AS (SELECT i AS u, j AS v FROM inner_{name} UNION SELECT j, i FROM inner_{name}),
+  reach_{name}(node, other) AS (SELECT gid, gid FROM fx_{name} UNION SELECT r.node, w.v FROM reach_{name} r JOIN ways_{name} w ON r.other = w.u),
+  sizes_{name} AS (SELECT count(*) AS n FROM (SELECT node, min(other) AS root FROM reach_{name} GROUP BY node) GROUP BY root),
+  stats_{name} AS (SELECT count(*) AS clusters_{name}, count(*) FILTER (WHERE n > 1) AS multi_{name}, coalesce(sum(n * (n - 1) // 2), 0)::BIGINT AS intra_{name}, (SELECT count(*) FROM inner_{name} WHERE iou > 0.8) AS near_duplicates_{name} FROM sizes_{name})"""
+
+
+@_register(
+    "p5_matching_stats",
+    f"""WITH RECURSIVE {FX}, {COMPONENTS}, {SECOND}, {_clusters_sql('a')}, {_clusters_sql('b')},
+      final_ways AS (SELECT u, v FROM both_ways UNION SELECT i, j + {_FAR} FROM second UNION SELECT j + {_FAR}, i FROM second),
+      final_reach(node, other) AS (SELECT node, node FROM nodes UNION SELECT r.node, w.v FROM final_reach r JOIN final_ways w ON r.other = w.u),
+      final AS (SELECT count(*) AS n, min(node) < {_FAR} AS a, max(node) >= {_FAR} AS b FROM (SELECT node, min(other) AS root FROM final_reach GROUP BY node) GROUP BY root)
+    SELECT stats_a.*, stats_b.*, (SELECT count(*) FROM cross_edges) AS cross_matches, (SELECT round(avg(iou), 6) FROM cross_edges) AS avg_iou,
+      (SELECT count(*) FROM fx_a p JOIN fx_b q ON {KEY_A} = {KEY_B}) AS address_matches, (SELECT count(*) FROM second) AS second_pass_matches,
+      (SELECT count(*) FROM final WHERE NOT b) AS only_a, (SELECT count(*) FROM final WHERE NOT a) AS only_b, (SELECT count(*) FROM final WHERE a AND b) AS both, (SELECT max(n) FROM final) AS largest
+    FROM stats_a, stats_b""",
+)
 def p5_matching_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.run_matching(fx.measured_a(spark, sf_dir), fx.measured_b(spark, sf_dir)).stats
+    return _rounded(matching.run_matching(fx.measured_a(spark, sf_dir), fx.measured_b(spark, sf_dir)).stats)
 
 
 # each node has one edge out, so a component is what leads to one cycle or to one node without
@@ -575,9 +621,13 @@ def v4_district_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doubles(layers.district_stats(near))
 
 
-@_register("v4_district")
+@_register(
+    "v4_district",
+    f"""WITH {B}, centre AS ({_projection_sql("SELECT 0 AS id, 59.88::DOUBLE AS lat0, 30.35::DOUBLE AS lon0")})
+    SELECT component_id, height_final, least(height_final, {layers.CAP_HEX}::DOUBLE) AS colour FROM buildings, centre WHERE sqrt(pow(cx - x, 2) + pow(cy - y, 2)) <= 900""",
+)
 def v4_district(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers.district(bf.buildings(spark, sf_dir), 59.88, 30.35, 2000.0).select("component_id", "height_final", "colour")
+    return layers.district(bf.buildings(spark, sf_dir), 59.88, 30.35, 900.0).select("component_id", "height_final", "colour")
 
 
 @_register("m1_predicted_heights")
