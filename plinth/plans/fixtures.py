@@ -37,6 +37,25 @@ def raw_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(_source(spark, sf_dir, A_SQL))
 
 
+def mixed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In the boxes of source A, by the key's remainder of 6: bow-ties, L-shapes, rectangles with a hole, flat rings, triangles, and nothing."""
+    rows = _source(spark, sf_dir, A_SQL).select("gid", "x0", "y0", "w", "h")
+    at = lambda dx, dy: F.concat_ws(" ", F.col("x0") + dx * F.col("w"), F.col("y0") + dy * F.col("h"))
+    ring = lambda *places: F.concat(F.lit("("), F.concat_ws(", ", *(at(*p) for p in (*places, places[0]))), F.lit(")"))
+    polygon = lambda *rings: F.concat(F.lit("POLYGON ("), F.concat_ws(", ", *rings), F.lit(")"))
+    kinds = [
+        polygon(ring((0, 0), (1, 1), (1, 0), (0, 1))),
+        polygon(ring((0, 0), (1, 0), (1, 0.5), (0.5, 0.5), (0.5, 1), (0, 1))),
+        polygon(ring((0, 0), (1, 0), (1, 1), (0, 1)), ring((0.25, 0.25), (0.25, 0.75), (0.75, 0.75), (0.75, 0.25))),
+        polygon(ring((0, 0), (1, 0), (0.5, 0))),
+        polygon(ring((0, 0), (1, 0), (0, 1))),
+    ]
+    wkt = F.lit(None).cast("string")
+    for k, made in enumerate(kinds):
+        wkt = F.when(F.col("gid") % 6 == k, made).otherwise(wkt)
+    return shaped(rows.select(F.col("gid").alias("original_index"), wkt.alias("wkt"), "x0", "y0", "w", "h"))
+
+
 def raw_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source B as it is read from a file, without a `letter`."""
     return _raw(_source(spark, sf_dir, B_SQL)).withColumn("letter", F.lit(None).cast("string"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plinth.functions import geometry as G
 from plinth.operators import cleaning, enrichment, heights, layers, matching, models, obstacles, outliers, validation
 from plinth.operators.graph import connected_components
+from plinth.operators.spatial_join import with_overlap
 from plinth.plans import building_fixtures as bf
 from plinth.plans import fixtures as fx
 from plinth.session import checkpointed
@@ -157,15 +158,24 @@ def r3_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _first_pass(spark, sf_dir)[3]
 
 
+def _clusters_sql(name: str) -> str:
+    """The links inside a source, and the size of each cluster that they connect."""
+    return f"""inner_{name} AS ({_inner(f'fx_{name}')}), ways_{name} AS (SELECT i AS u, j AS v FROM inner_{name} UNION SELECT j, i FROM inner_{name}),
+  reach_{name}(node, other) AS (SELECT gid, gid FROM fx_{name} UNION SELECT r.node, w.v FROM reach_{name} r JOIN ways_{name} w ON r.other = w.u),
+  sizes_{name} AS (SELECT count(*) AS n FROM (SELECT node, min(other) AS root FROM reach_{name} GROUP BY node) GROUP BY root),
+  stats_{name} AS (SELECT count(*) AS clusters_{name}, count(*) FILTER (WHERE n > 1) AS multi_{name}, coalesce(sum(n * (n - 1) // 2), 0)::BIGINT AS intra_{name}, (SELECT count(*) FROM inner_{name} WHERE iou > 0.8) AS near_duplicates_{name} FROM sizes_{name})"""
+
+
 @_register(
     "r2_edge_types",
-    f"""WITH {FX}, {CROSS}, e AS (
+    f"""WITH RECURSIVE {FX}, {CROSS}, {_clusters_sql('a')}, {_clusters_sql('b')}, e AS (
       SELECT 'cross' AS edge_type, iou AS weight FROM cross_edges UNION ALL
       SELECT 'address', 0.7::DOUBLE FROM fx_a p JOIN fx_b q ON {KEY_A} = {KEY_B} WHERE NOT EXISTS (SELECT 1 FROM cross_edges c WHERE c.i = p.gid AND c.j = q.gid))
-    SELECT edge_type, count(*) AS n, round(sum(weight), 6) AS weight FROM e GROUP BY edge_type""",
+    SELECT edge_type, count(*) AS n, round(sum(weight), 6) AS weight FROM e GROUP BY edge_type
+    UNION ALL SELECT 'intra_A', sum(n - 1)::BIGINT, sum(n - 1)::DOUBLE FROM sizes_a HAVING sum(n - 1) > 0 UNION ALL SELECT 'intra_B', sum(n - 1)::BIGINT, sum(n - 1)::DOUBLE FROM sizes_b HAVING sum(n - 1) > 0""",
 )
 def r2_edge_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = _first_pass(spark, sf_dir)[2].where(F.col("edge_type").isin("cross", "address"))
+    edges = _first_pass(spark, sf_dir)[2]
     return edges.groupBy("edge_type").agg(F.count("*").alias("n"), F.round(F.sum("weight"), 6).alias("weight"))
 
 
@@ -241,14 +251,6 @@ def j4_second_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(matching.second_pass(a, b, comps))
 
 
-def _clusters_sql(name: str) -> str:
-    """The links inside a source, and the size of each cluster that they connect."""
-    return f"""inner_{name} AS ({_inner(f'fx_{name}')}), ways_{name} AS (SELECT i AS u, j AS v FROM inner_{name} UNION SELECT j, i FROM inner_{name}),
-  reach_{name}(node, other) AS (SELECT gid, gid FROM fx_{name} UNION SELECT r.node, w.v FROM reach_{name} r JOIN ways_{name} w ON r.other = w.u),
-  sizes_{name} AS (SELECT count(*) AS n FROM (SELECT node, min(other) AS root FROM reach_{name} GROUP BY node) GROUP BY root),
-  stats_{name} AS (SELECT count(*) AS clusters_{name}, count(*) FILTER (WHERE n > 1) AS multi_{name}, coalesce(sum(n * (n - 1) // 2), 0)::BIGINT AS intra_{name}, (SELECT count(*) FROM inner_{name} WHERE iou > 0.8) AS near_duplicates_{name} FROM sizes_{name})"""
-
-
 @_register(
     "p5_matching_stats",
     f"""WITH RECURSIVE {FX}, {COMPONENTS}, {SECOND}, {_clusters_sql('a')}, {_clusters_sql('b')},
@@ -404,9 +406,34 @@ def a1_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.drop_duplicates(cleaning.fix_geometries(square)).select("original_index")
 
 
-@_register("p1_geometry_stats", f"WITH {FX} SELECT count(*) AS n, 0::BIGINT AS empty, 0::BIGINT AS invalid FROM fx_b")
+@_register("p1_geometry_stats", f"WITH {FX} SELECT count(*) AS n, count(*) FILTER (WHERE gid % 6 = 5) AS empty, count(*) FILTER (WHERE gid % 6 IN (0, 3)) AS invalid FROM fx_a")
 def p1_geometry_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.geometry_stats(fx.shaped(fx.raw_b(spark, sf_dir)))
+    return cleaning.geometry_stats(fx.mixed_shapes(spark, sf_dir))
+
+
+#: Areas as parts of the box: of a bow-tie, an L-shape, a holed rectangle and a triangle, and of what lies in the box's left half.
+_SHAPES = "(VALUES (0, 0.5::DOUBLE, 0.25::DOUBLE, 2), (1, 0.75, 0.5, 1), (2, 0.75, 0.375, 1), (4, 0.5, 0.375, 1)) AS s(kind, whole, left_half, n_parts)"
+
+
+@_register("g5_repair", f"WITH {FX} SELECT gid AS original_index, round(w*h*whole, 6) AS area, n_parts FROM fx_a JOIN {_SHAPES} ON gid % 6 = kind")
+def g5_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fixed = cleaning.fix_geometries(fx.mixed_shapes(spark, sf_dir))
+    return _rounded(fixed.select("original_index", G.area(F.col("geom")).alias("area"), F.size("geom").alias("n_parts")))
+
+
+@_register(
+    "g15_overlap",
+    f"WITH {FX} SELECT gid AS original_index, round(w*h*left_half, 6) AS inter, round(left_half / (whole + 0.5 - left_half), 6) AS iou, round(left_half / 0.5, 6) AS coverage FROM fx_a JOIN {_SHAPES} ON gid % 6 = kind",
+)
+def g15_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fixed = cleaning.fix_geometries(fx.mixed_shapes(spark, sf_dir))
+    sides = {"a_": F.col("geom"), "b_": G.from_rectangle(F.col("x0"), F.col("y0"), F.col("w") / 2, F.col("h"))}
+    frames = []
+    for prefix, geom in sides.items():
+        rows = fixed.select("original_index", (geom if prefix == "a_" else G.parse_wkt(geom)).alias("geom"))
+        frames.append(checkpointed(G.with_measures(rows)).withColumnsRenamed({c: prefix + c for c in (*matching.SHAPE,) if c != "original_index"}))
+    pairs = with_overlap(frames[0].join(frames[1], "original_index"))
+    return _rounded(pairs.select("original_index", "inter", "iou", "coverage"))
 
 
 @_register("a2_mixture_outliers")
