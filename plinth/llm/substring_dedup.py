@@ -1,4 +1,4 @@
-"""Substring deduplication by level-wise doubling: windows repeated at half the length are extended to the whole."""
+"""Substring deduplication by level-wise doubling: windows repeated at one length alone are extended to twice that length."""
 
 from __future__ import annotations
 
@@ -21,6 +21,16 @@ BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 FLUSH = 100_000
 #: Stands for a null id where ids are compared: none is larger.
 NO_ID = 2**63 - 1
+#: The first level's windows have at most so many words.
+SHORTEST = 13
+
+
+def levels(window: int) -> list[int]:
+    """The lengths of all levels, each half of the next, rounded up: for 50 words 13, 25 and 50. A window of up to `SHORTEST` words is both levels."""
+    lengths = [window]
+    while lengths[0] > SHORTEST or len(lengths) == 1 and window > 1:
+        lengths.insert(0, (lengths[0] + 1) // 2)
+    return lengths if len(lengths) > 1 else [window, window]
 
 
 def lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
@@ -59,6 +69,44 @@ def anchors(rows: DataFrame, gram: int, window: int) -> DataFrame:
     return rows.mapInArrow(run, struct_of(schema))
 
 
+def candidates(rows: DataFrame, lengths: list[int]) -> DataFrame:
+    """`key`, `d`, `codes`, `grams0`, `grams1`, ...: what each text brings to the levels before the last.
+
+    Any window of full length holds a gram of the first length that is its minimiser, chosen alike wherever the window stands. It grows to the right, or to the left
+    where the window ends too soon for that: a code is twice the gram's place, and one more if it grows to the left. So each level has at most two grams
+    for a minimiser, and each lies in the next.
+    """
+    grams = "".join(f", grams{i} array<long>" for i in range(len(lengths) - 1))
+    schema = struct_of("key binary, d long, codes array<int>" + grams)
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, rolling = WordHashes(), Rolling(BASES[0])
+        for batch in batches:
+            index, codes, found = [], [], [[] for _ in lengths[:-1]]
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                words = text.encode().split()
+                if len(words) >= lengths[-1]:
+                    own = hashes.of(words)
+                    code = np.unique(coded(rolling.windows(own, lengths[0]), lengths))
+                    index.append(i)
+                    codes.append(code)
+                    for length, column in zip(lengths, found):
+                        start = (code >> 1) - (code & 1) * (length - lengths[0])
+                        column.append(rolling.windows(own, length)[start].view(np.int64))
+            chosen = pa.array(index, type=pa.int32())
+            columns = [batch.column(0).take(chosen), batch.column(1).take(chosen), lists(codes, pa.int32()), *(lists(c, pa.int64()) for c in found)]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    return rows.mapInArrow(run, schema)
+
+
+def coded(grams: np.ndarray, lengths: list[int]) -> np.ndarray:
+    """For each window of the last length its code: see `candidates`. `grams` are those of the first length."""
+    around = minimisers(grams, lengths[-1] - lengths[0] + 1)
+    return 2 * around + (around - np.arange(len(around)) > lengths[-1] - lengths[-2])
+
+
 def first_of_copies(rows: DataFrame) -> DataFrame:
     """`key` and the smallest id `least` that has the text."""
     return rows.groupBy("key").agg(F.min("d").alias("least"))
@@ -73,8 +121,8 @@ def _apart(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np
     return order[starts], [(int(i), order[starts[i] + 1 : starts[i] + number[i]]) for i in np.flatnonzero(number > 1)]
 
 
-def _extended(rows: DataFrame, half: int, window: int) -> DataFrame:
-    """Windows of full length around the repeated halves: `a`, `b` (128 bits), `d`, `place`, and `tag` where a smaller id has the half.
+def _extended(rows: DataFrame, lengths: list[int]) -> DataFrame:
+    """Windows of full length around the repeated grams of the level before: `a`, `b` (128 bits), `d`, `place`, and `tag` where a smaller id has the gram.
 
     A window that a text repeats is one row: its first place, and the others in `more`. So no window has more rows than there are texts.
     """
@@ -96,14 +144,14 @@ def _extended(rows: DataFrame, half: int, window: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(d), pa.array(place.astype(np.int32)), pa.array(tag, mask=~smaller), more], schema=arrow)
 
         for batch in batches:
-            for tag, d, text, places, smaller in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for tag, d, text, codes, smaller in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = hashes.of(text.encode().split())
-                around = minimisers(rolling[0].windows(words, half), window - half + 1)
-                order = np.argsort(places)
-                known, flags = np.array(places)[order], np.array(smaller, dtype=bool)[order]
+                around = coded(rolling[0].windows(words, lengths[0]), lengths)
+                order = np.argsort(codes)
+                known, flags = np.array(codes)[order], np.array(smaller, dtype=bool)[order]
                 at = np.minimum(np.searchsorted(known, around), len(known) - 1)
                 place = np.flatnonzero(known[at] == around)
-                full = [r.windows(words, window)[place] for r in rolling]
+                full = [r.windows(words, lengths[-1])[place] for r in rolling]
                 one, again = _apart(*full)
                 more: list[list[int] | None] = [None] * len(one)
                 for i, others in again:
@@ -125,21 +173,27 @@ def tagged(rows: DataFrame) -> DataFrame:
 def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
     """`d`, `tag` and `places` where windows start that a smaller id has too. Copies of a text other than that of its smallest id have no row.
 
-    Level one is half the length. Not every place is looked at: any window holds a half-length gram that is its minimiser,
-    chosen alike wherever the window stands, so grams at minimisers find all that repeats. Those in documents of more
-    than one id are extended to the full length, at all places of which they are the minimiser. A larger id's window goes on to be
+    Each level takes the grams that the one before left, in both directions of growth, and keeps those that more than one id has; it ends where none is
+    left. What stays at half the length is extended to the full length, at all places around. A larger id's window goes on to be
     compared only if a smaller id has its half.
     """
-    half = (window + 1) // 2
+    lengths = levels(window)
     rows = tagged(keyed(docs))
-    packed = checkpointed(anchors(keyed(docs), half, window))
-    seeds = tagged(packed).select("d", "tag", F.explode(F.arrays_zip("grams", "places")).alias("s")).select("d", "tag", F.col("s.grams").alias("gram"), F.col("s.places").alias("place"))
-    # written out, so that the join's two sides are plain exchanges and a gram that very many have can be split
-    shared = checkpointed(seeds.groupBy("gram").agg(F.min("d").alias("first"), F.max("d").alias("last")).where("first < last"))
-    known = seeds.join(shared.select("gram", "first"), "gram").groupBy("d", "tag").agg(F.collect_set(F.struct("place", (F.col("first") < F.col("d")).alias("smaller"))).alias("s"))
-    known = known.join(copies(docs), ["d", "tag"], "left_anti")
+    again = checkpointed(copies(docs))
+    packed = tagged(checkpointed(candidates(keyed(docs), lengths))).join(again, ["d", "tag"], "left_anti")
+    grams = [f"grams{i}" for i in range(len(lengths) - 1)]
+    alive = packed.select("d", "tag", F.explode(F.arrays_zip("codes", *grams)).alias("s")).select("d", "tag", F.col("s.codes").alias("code"), *(f"s.{g}" for g in grams))
+    for gram in grams:
+        # written out, so that the join's two sides are plain exchanges and a gram that very many have can be split
+        shared = checkpointed(alive.groupBy(gram).agg(F.min("d").alias("first"), F.max("d").alias("last")).where("first < last").select(gram, "first"))
+        if shared.isEmpty():
+            return docs.sparkSession.createDataFrame([], "d long, tag long, places array<int>")
+        alive = alive.drop("first").join(shared, gram).drop(gram)
+        if gram != grams[-1]:
+            alive = checkpointed(alive)
+    known = alive.groupBy("d", "tag").agg(F.collect_set(F.struct("code", (F.col("first") < F.col("d")).alias("smaller"))).alias("s"))
     texts = rows.select("d", "tag", "text").join(known, ["d", "tag"])
-    full = _extended(texts.select("tag", "d", "text", F.col("s.place").alias("places"), F.col("s.smaller").alias("smaller")), half, window)
+    full = _extended(texts.select("tag", "d", "text", F.col("s.code").alias("codes"), F.col("s.smaller").alias("smaller")), lengths)
     first = full.select("a", "b", "d").groupBy("a", "b").agg(F.min("d").alias("first"))
     again = full.where("tag is not null").join(first, ["a", "b"]).where("first < d")
     every = F.concat(F.array("place"), F.coalesce("more", F.expr("cast(array() as array<int>)")))

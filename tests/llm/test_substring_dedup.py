@@ -2,7 +2,9 @@ import hashlib
 import random
 import re
 
-from plinth.llm.substring_dedup import dedup_substrings
+import pytest
+
+from plinth.llm.substring_dedup import dedup_substrings, levels
 from plinth.llm.suffix_dedup import find_repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -50,11 +52,16 @@ def fixture():
     return rows
 
 
-def test_removed_words_match_brute_force(spark):
+def test_levels_double():
+    assert levels(50) == [13, 25, 50] and levels(130) == [9, 17, 33, 65, 130] and levels(7) == [4, 7] and levels(1) == [1, 1]
+
+
+@pytest.mark.parametrize("window", [1, 7, 14, 50, 130])
+def test_removed_words_match_brute_force(spark, window):
     rows = fixture()
-    got = sorted(map(tuple, dedup_substrings(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
+    got = sorted(map(tuple, dedup_substrings(spark.createDataFrame(rows, SCHEMA), window).collect()), key=str)
     want = []
-    for (i, *_), (words, gone) in zip(rows, covered(rows, 50), strict=True):
+    for (i, *_), (words, gone) in zip(rows, covered(rows, window), strict=True):
         kept = [w for p, w in enumerate(words) if p not in gone]
         want.append((i, len(words), len(gone), hashlib.sha256(" ".join(kept).encode()).hexdigest()))
     assert got == sorted(want, key=str)
@@ -70,6 +77,12 @@ def test_repeated_spans_match_brute_force(spark):
     assert got == sorted(want, key=str)
 
 
+def test_no_candidates(spark):
+    """Where no gram of the first level repeats, nothing is looked at further."""
+    rows = [(i, " ".join(f"w{i}_{j}" for j in range(80)), "k", 1) for i in range(5)]
+    assert {(r.doc_id, r.n_words, r.n_removed) for r in dedup_substrings(spark.createDataFrame(rows, SCHEMA)).collect()} == {(i, 80, 0) for i in range(5)}
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert dedup_substrings(docs).count() == 0 and find_repeats(docs).count() == 0
