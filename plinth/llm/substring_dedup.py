@@ -180,7 +180,7 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
     lengths = levels(window)
     rows = tagged(keyed(docs))
     again = checkpointed(copies(docs))
-    packed = tagged(checkpointed(candidates(keyed(docs), lengths))).join(again, ["d", "tag"], "left_anti")
+    packed = tagged(checkpointed(candidates(keyed(docs), lengths)))
     grams = [f"grams{i}" for i in range(len(lengths) - 1)]
     alive = packed.select("d", "tag", F.explode(F.arrays_zip("codes", *grams)).alias("s")).select("d", "tag", F.col("s.codes").alias("code"), *(f"s.{g}" for g in grams))
     for gram in grams:
@@ -189,6 +189,8 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
         if shared.isEmpty():
             return docs.sparkSession.createDataFrame([], "d long, tag long, places array<int>")
         alive = alive.drop("first").join(shared, gram).drop(gram)
+        if gram == grams[0]:  # copies go where few rows are left to be dealt out for that
+            alive = alive.join(again, ["d", "tag"], "left_anti")
         if gram != grams[-1]:
             alive = checkpointed(alive)
     known = alive.groupBy("d", "tag").agg(F.collect_set(F.struct("code", (F.col("first") < F.col("d")).alias("smaller"))).alias("s"))
