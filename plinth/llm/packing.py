@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import string
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -26,7 +27,7 @@ class WordCache(dict):
     """Little-endian 32-bit ids of each word. Ids of a text are those of its words: the tokenizer cuts at white space before it merges.
 
     It also lower-cases, and cuts letters from marks, before it merges. So a word of Latin letters has the ids of its lower-case form, and one
-    with a mark at its end those of both parts; such forms go to the merges at once. All other words take the tokenizer's whole way.
+    with marks at its end those of both parts; letters go to the merges at once. All other words take the tokenizer's whole way.
     """
 
     def __init__(self, path: str):
@@ -42,23 +43,35 @@ class WordCache(dict):
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        text = word.decode()
-        if word[-1:] in _MARKS and word[:-1].isalpha():
-            ids = self[word[:-1]] + self[word[-1:]]
-        elif text.isalpha() and max(text) < _LATIN_END:
-            low = text.lower()
-            ids = self[low.encode()] if low != text else _packed([t.id for t in self.merges(word.decode("latin-1").translate(self.letters))])
+        if word.isalpha():  # of ASCII letters alone
+            low = word.lower()
+            ids = self[low] if low != word else self.merged(word.decode())
         else:
-            ids = _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            letters = word.rstrip(_MARKS)
+            if _latin(text := letters.decode()):
+                if letters != word:
+                    ids = self[letters] + self[word[len(letters) :]]
+                else:
+                    low = text.lower()
+                    ids = self[low.encode()] if low != text else self.merged(word.decode("latin-1").translate(self.letters))
+            else:
+                ids = _packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
         self[word] = ids
         return ids
 
+    def merged(self, letters: str) -> bytes:
+        return _packed([t.id for t in self.merges(letters)])
+
     def ids(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.encode().split()))
 
 
-#: Marks after which nothing depends on what stands before, and the first letter past those whose lower case is one letter's.
-_MARKS, _LATIN_END = frozenset((b".", b",", b";", b":", b"!", b"?")), "\u0130"
+#: Marks that are one part if they end a word, whatever letters stand before, and the first letter past those whose lower case is one letter's.
+_MARKS, _LATIN_END = string.punctuation.encode(), "\u0130"
+
+
+def _latin(text: str) -> bool:
+    return text.isalpha() and max(text) < _LATIN_END
 
 
 def _packed(ids: list[int]) -> bytes:

@@ -3,7 +3,7 @@ from zlib import crc32
 
 import pytest
 
-from plinth.llm.packing import Packer, default_tokenizer, pack
+from plinth.llm.packing import Packer, WordCache, default_tokenizer, pack
 
 tokenizers = pytest.importorskip("tokenizers")
 
@@ -49,3 +49,18 @@ def test_tiers_and_empty(spark):
     assert [sum(n for *_, n in s) for s in made if len(s) == 1] == [2048]
     assert all(sum(n for *_, n in s) in (2048, 1024, 512, 256) for s in made)
     assert pack(spark.createDataFrame([], "doc_id long, text string"), default_tokenizer()).count() == 0
+
+
+def test_words_with_marks_at_their_end_go_to_the_merges():
+    letters = ["word", "Word", "Éclair", "ß", "straße", "µ", "ª", "s", "t", "d", "re", "LL", "the"]
+    marks = ["", ".", ",***", "'", "''", "%%%", "<|", "|>", "_", "\\", "!?\"", "'.'", "<|>", "-"]
+    words = [w + m for w in letters for m in marks if w or m]
+    whole = tokenizers.Tokenizer.from_file(default_tokenizer())
+    cache = WordCache(default_tokenizer())
+    for m in marks[1:]:
+        cache[m.encode()]
+    cache.tokenizer = None  # takes much longer for a word than the merges
+    assert {w: cache.ids(w) for w in words} == {w: b"".join(i.to_bytes(4, "little") for i in whole.encode(w, add_special_tokens=False).ids) for w in words}
+    cache = WordCache(default_tokenizer())
+    odd = ["don't", "'s", "'st", "x's.", "<|endoftext|>", "a<|endoftext|>", "<|startoftext|>..", "ΑΣ.", "ΑΣ'", "ẍ,", "é.", "İ.", "e̸", "a1.", "1.", "日本。", "ﬁn.", "²!", "k.5", "﻿.", "a​."]
+    assert {w: cache.ids(w) for w in odd} == {w: b"".join(i.to_bytes(4, "little") for i in whole.encode(w, add_special_tokens=False).ids) for w in odd}
