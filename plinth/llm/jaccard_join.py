@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from plinth.llm.arrow import sliced, struct_of
+from plinth.llm.arrow import map_batches, sliced, struct_of
 from plinth.llm.substring_dedup import BASES, lists
 from plinth.llm.windows import Rolling, WordHashes, mixed
 from plinth.operators.graph import connected_components, merged_components
@@ -129,7 +129,7 @@ def profiles(docs: DataFrame, n: int, least: Fraction) -> DataFrame:
             chosen = pa.array(index, type=pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen), *columns, pa.array(counts, type=pa.binary()), lists(keys, pa.int64())], schema=arrow)
 
-    return docs.select("doc_id", "k", "text").mapInArrow(run, struct_of(schema))
+    return map_batches(docs.select("doc_id", "k", "text"), run, struct_of(schema))
 
 
 def meetings(points: DataFrame) -> DataFrame:
@@ -186,9 +186,9 @@ def meetings(points: DataFrame) -> DataFrame:
             yield shared(*rest)
 
     parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    combined = points.mapInArrow(combine, struct_of("key long, p long, lo long, several boolean"))
+    combined = map_batches(points, combine, struct_of("key long, p long, lo long, several boolean"))
     firsts = combined.where("p = lo").select("key", "p", "several").repartition(parts, "key").sortWithinPartitions("key", "p")
-    return firsts.mapInArrow(close, struct_of("key long, p long, lo long")).union(combined.where("p > lo").select("key", "p", "lo"))
+    return map_batches(firsts, close, struct_of("key long, p long, lo long")).union(combined.where("p > lo").select("key", "p", "lo"))
 
 
 class CountTree:
@@ -355,7 +355,7 @@ def meet(rows: DataFrame, least: Fraction) -> DataFrame:
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.select("key", "chunk", "guest", "p", "comp", "grams").repartition(parts, "key", "chunk").sortWithinPartitions("key", "chunk", "guest", "p")
-    return ordered.mapInArrow(run, struct_of(schema)).distinct()
+    return map_batches(ordered, run, struct_of(schema)).distinct()
 
 
 def counted(values: list[bytes]) -> np.ndarray:
@@ -417,7 +417,7 @@ def may_be_linked(rows: DataFrame, least: Fraction) -> DataFrame:
             yield pairs(*held)
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.select("key", "p", "size", "comp", "counts").repartition(parts, "key").sortWithinPartitions("key", "p").mapInArrow(run, struct_of(schema)).distinct()
+    return map_batches(rows.select("key", "p", "size", "comp", "counts").repartition(parts, "key").sortWithinPartitions("key", "p"), run, struct_of(schema)).distinct()
 
 
 def sets_of(docs: DataFrame, needed: DataFrame, n: int) -> DataFrame:
@@ -435,7 +435,7 @@ def sets_of(docs: DataFrame, needed: DataFrame, n: int) -> DataFrame:
     needed = checkpointed(needed)
     number = needed.count()
     # few enough to send to every task; else texts are dealt out by their key
-    sets = checkpointed(docs.join(F.broadcast(needed) if number <= SENT else needed, "k").select("p", "text").mapInArrow(run, struct_of(schema)))
+    sets = checkpointed(map_batches(docs.join(F.broadcast(needed) if number <= SENT else needed, "k").select("p", "text"), run, struct_of(schema)))
     return checkpointed(sets.dropDuplicates(["p"])) if sets.count() > number else sets  # rows may repeat both id and text
 
 
@@ -458,7 +458,7 @@ def near(pairs: DataFrame, points: DataFrame, least: Fraction) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen)], schema=arrow)
 
     side = lambda end: points.select(F.col("p").alias(end), F.col("size").alias(f"size_{end}"), F.col("counts").alias(f"counts_{end}"))
-    return pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "size_u", "size_v", "counts_u", "counts_v").mapInArrow(run, struct_of("u long, v long"))
+    return map_batches(pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "size_u", "size_v", "counts_u", "counts_v"), run, struct_of("u long, v long"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
@@ -476,7 +476,7 @@ def verified(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen)], schema=arrow)
 
     side = lambda end: sets.select(F.col("p").alias(end), F.col("grams").alias(f"grams_{end}"))
-    return pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "grams_u", "grams_v").mapInArrow(compare, struct_of("u long, v long"))
+    return map_batches(pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "grams_u", "grams_v"), compare, struct_of("u long, v long"))
 
 
 def _may_link(box: str, other: str, size: str, other_size: str, share: Fraction) -> Column:

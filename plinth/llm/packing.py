@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from plinth.llm.arrow import sliced, struct_of
+from plinth.llm.arrow import map_batches, sliced, struct_of
 
 #: Sequence lengths, the longest first. Each is a power of two, so a full sequence of any tier needs no padding.
 TIERS = (2048, 1024, 512, 256)
@@ -189,7 +189,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, tiers: tuple[int, ...
                     block = []
         yield flush(block, True)
 
-    return docs.select("doc_id", "text").mapInArrow(run, struct_of(SCHEMA))
+    return map_batches(docs.select("doc_id", "text"), run, struct_of(SCHEMA))
 
 
 def default_tokenizer() -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from plinth.llm.arrow import struct_of
+from plinth.llm.arrow import map_batches, struct_of
 from plinth.llm.windows import Rolling, WordHashes, minimisers
 from plinth.session import checkpointed
 
@@ -66,7 +66,7 @@ def anchors(rows: DataFrame, gram: int, window: int) -> DataFrame:
             chosen = pa.array(index, type=pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen), lists(grams, pa.int64()), lists(places, pa.int32())], schema=arrow)
 
-    return rows.mapInArrow(run, struct_of(schema))
+    return map_batches(rows, run, struct_of(schema))
 
 
 def candidates(rows: DataFrame, lengths: list[int]) -> DataFrame:
@@ -98,7 +98,7 @@ def candidates(rows: DataFrame, lengths: list[int]) -> DataFrame:
             columns = [batch.column(0).take(chosen), batch.column(1).take(chosen), lists(codes, pa.int32()), *(lists(c, pa.int64()) for c in found)]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)
 
 
 def coded(grams: np.ndarray, lengths: list[int]) -> np.ndarray:
@@ -162,7 +162,7 @@ def _extended(rows: DataFrame, lengths: list[int]) -> DataFrame:
         if held:
             yield flush()
 
-    return rows.mapInArrow(run, struct_of(schema))
+    return map_batches(rows, run, struct_of(schema))
 
 
 def tagged(rows: DataFrame) -> DataFrame:
@@ -238,4 +238,4 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow)
 
     every = tagged(keyed(docs)).select("doc_id", "d", "tag", "text").join(places, ["d", "tag"], "left").join(copies(docs).withColumn("copy", F.lit(True)), ["d", "tag"], "left")
-    return every.select("doc_id", "text", "copy", "places").mapInArrow(run, struct_of(schema))
+    return map_batches(every.select("doc_id", "text", "copy", "places"), run, struct_of(schema))

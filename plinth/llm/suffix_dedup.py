@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from plinth.llm.arrow import struct_of
+from plinth.llm.arrow import map_batches, struct_of
 from plinth.llm.mixing import word_count
 from plinth.llm.substring_dedup import BASES, FLUSH, NO_ID, anchors, copies, first_of_copies, keyed, tagged
 from plinth.llm.windows import Rolling, WordHashes
@@ -71,7 +71,7 @@ def _suffixes(rows: DataFrame, reach: int, members: bool) -> DataFrame:
         if listed or met:
             yield flush()
 
-    return rows.mapInArrow(run, struct_of(schema))
+    return map_batches(rows, run, struct_of(schema))
 
 
 def _matrix(column: list[bytes], reach: int) -> tuple[np.ndarray, np.ndarray]:
@@ -148,7 +148,7 @@ def _compared(contexts: DataFrame, reach: int) -> DataFrame:
         if held[0]:
             yield work(held)
 
-    return contexts.mapInArrow(run, struct_of(schema))
+    return map_batches(contexts, run, struct_of(schema))
 
 
 def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from plinth.llm.arrow import map_rows, sliced, struct_of
+from plinth.llm.arrow import map_batches, map_rows, sliced, struct_of
 from plinth.session import checkpointed
 
 #: Letters of other scripts and forms that look like Latin ones.
@@ -116,7 +116,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 8000, most: int = 40
             for toxic, own in counts.items():
                 yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), pa.array([toxic] * len(own), pa.int32()), pa.array(list(own.values()), pa.int64())], schema=schema)
 
-    pairs = rows.mapInArrow(counted, "term string, toxic int, n long").groupBy("term").agg(
+    pairs = map_batches(rows, counted, "term string, toxic int, n long").groupBy("term").agg(
         F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("n"))), F.lit(0)).alias("pos"), F.coalesce(F.sum(F.when(F.col("toxic") == 0, F.col("n"))), F.lit(0)).alias("neg")
     )
     counts = checkpointed(pairs)
@@ -165,4 +165,4 @@ def keep_clean(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3) -> Dat
         for batch in sliced(batches):
             yield batch.filter(pa.array([score(t or "", automaton) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
