@@ -5,7 +5,7 @@ from plinth.llm.toxicity import Lexicon, keep_clean
 
 def test_batches_have_few_bytes_whatever_a_row_has(spark):
     spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
-    docs = spark.range(0, 3000, 1, 1).selectExpr("id as doc_id", "repeat(cast(id + 1000 as string), 2500) as text")
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id as doc_id", "repeat(concat('word ', id, ' '), 1000) as text")
     assert keep_clean(docs, Lexicon({})).count() == 3000  # any operator sets it
 
     def run(batches):
