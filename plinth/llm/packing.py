@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import bisect
+import functools
+import os
 import string
 import struct
 from collections.abc import Iterator
@@ -18,11 +20,20 @@ from plinth.llm.arrow import map_batches, sliced, struct_of
 
 #: Sequence lengths, the longest first. Each is a power of two, so a full sequence of any tier needs no padding.
 TIERS = (2048, 1024, 512, 256)
-#: Words whose ids a task remembers; beyond it starts anew.
-CACHED_WORDS = 350_000
+#: Words whose ids a task remembers, in two halves of as many as a dict of 2**17 places holds; the older half goes when the younger is full.
+CACHED_WORDS = 2 * 87_381
 #: Documents whose pieces are packed together; what is open then goes on to the next.
 BLOCK = 512
 
+
+@functools.lru_cache(maxsize=1)
+def _loaded(path: str, changed: int):
+    """The tokenizer of a file, one for all tasks of a process: each that is used and dropped leaves some 6 MB behind."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 class WordCache(dict):
     """Little-endian 32-bit ids of each word. Ids of a text are those of its words: the tokenizer cuts at white space before it merges.
 
@@ -31,18 +42,25 @@ class WordCache(dict):
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = _loaded(path, os.stat(path).st_mtime_ns)
         self.merges = self.tokenizer.model.tokenize
         # byte-level vocabularies write bytes that don't print as the characters from 256 on
         printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printed]
         self.letters = {b: 256 + i for i, b in enumerate(others)}
+        self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHED_WORDS:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.found(word)
+        if len(self) >= CACHED_WORDS // 2:
+            self.older = dict(self)
             self.clear()
+        self[word] = ids
+        return ids
+
+    def found(self, word: bytes) -> bytes:
         if word.isalpha():  # of ASCII letters alone
             low = word.lower()
             ids = self[low] if low != word else self.merged(word.decode())
@@ -56,7 +74,6 @@ class WordCache(dict):
                     ids = self[low.encode()] if low != text else self.merged(word.decode("latin-1").translate(self.letters))
             else:
                 ids = _packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
-        self[word] = ids
         return ids
 
     def merged(self, letters: str) -> bytes:

@@ -1,8 +1,10 @@
+import re
 from collections import defaultdict
 from zlib import crc32
 
 import pytest
 
+from plinth.llm import packing
 from plinth.llm.packing import Packer, WordCache, default_tokenizer, pack
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -64,3 +66,29 @@ def test_words_with_marks_at_their_end_go_to_the_merges():
     cache = WordCache(default_tokenizer())
     odd = ["don't", "'s", "'st", "x's.", "<|endoftext|>", "a<|endoftext|>", "<|startoftext|>..", "ΑΣ.", "ΑΣ'", "ẍ,", "é.", "İ.", "e̸", "a1.", "1.", "日本。", "ﬁn.", "²!", "k.5", "﻿.", "a​."]
     assert {w: cache.ids(w) for w in odd} == {w: b"".join(i.to_bytes(4, "little") for i in whole.encode(w, add_special_tokens=False).ids) for w in odd}
+
+
+def test_tasks_of_a_process_leave_no_memory_behind():
+    from plinth.llm.arrow import given_back
+
+    def left():
+        words = WordCache(default_tokenizer())
+        words.ids(" ".join(f"{i:x}".translate(str.maketrans("0123456789", "ghijklmnop")) for i in range(100_000, 140_000)))
+        del words
+        given_back()
+        with open("/proc/self/smaps_rollup") as f:
+            return int(re.search(r"\nAnonymous:\s+(\d+)", f.read())[1]) / 1024
+
+    first = [left(), left()][-1]
+    assert [left() for _ in range(4)][-1] < first + 10  # MB; four tokenizers left 24
+
+
+def test_remembered_words_are_bounded_and_the_latest_stay(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 20)
+    words = WordCache(default_tokenizer())
+    text = " ".join(["The", "a,"] + [f"Wort{i} the" for i in range(200)])
+    assert words.ids(text) == WordCache(default_tokenizer()).ids(text)
+    assert [int.from_bytes(words.ids(text)[at : at + 4], "little") for at in range(0, len(words.ids(text)), 4)] == ids_of(text)[:-1]
+    assert len(words) <= 12 and len(words.older) <= 12
+    words.tokenizer = words.merges = None
+    assert words.ids("Wort199 the")  # known without the tokenizer
