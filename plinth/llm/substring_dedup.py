@@ -144,7 +144,7 @@ def _extended(rows: DataFrame, lengths: list[int]) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(d), pa.array(place.astype(np.int32)), pa.array(tag, mask=~smaller), more], schema=arrow)
 
         for batch in batches:
-            for tag, d, text, codes, smaller in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for _, d, tag, text, codes, smaller in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = hashes.of(text.encode().split())
                 around = coded(rolling[0].windows(words, lengths[0]), lengths)
                 order = np.argsort(codes)
@@ -170,6 +170,11 @@ def tagged(rows: DataFrame) -> DataFrame:
     return rows.withColumn("tag", F.xxhash64("key"))
 
 
+def dealt(docs: DataFrame) -> DataFrame:
+    """`doc_id`, `d`, `tag`, `text`. All joins of texts by `d` and `tag` take these columns, whether they need them or not: so their exchanges are equal, and Spark deals the texts out once for all of them."""
+    return tagged(keyed(docs)).select("doc_id", "d", "tag", "text")
+
+
 def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
     """`d`, `tag` and `places` where windows start that a smaller id has too. Copies of a text other than that of its smallest id have no row.
 
@@ -178,7 +183,6 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
     compared only if a smaller id has its half.
     """
     lengths = levels(window)
-    rows = tagged(keyed(docs))
     again = checkpointed(copies(docs))
     packed = tagged(checkpointed(candidates(keyed(docs), lengths)))
     grams = [f"grams{i}" for i in range(len(lengths) - 1)]
@@ -194,8 +198,8 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
         if gram != grams[-1]:
             alive = checkpointed(alive)
     known = alive.groupBy("d", "tag").agg(F.collect_set(F.struct("code", (F.col("first") < F.col("d")).alias("smaller"))).alias("s"))
-    texts = rows.select("d", "tag", "text").join(known, ["d", "tag"])
-    full = _extended(texts.select("tag", "d", "text", F.col("s.code").alias("codes"), F.col("s.smaller").alias("smaller")), lengths)
+    texts = dealt(docs).join(known, ["d", "tag"])
+    full = _extended(texts.select("doc_id", "d", "tag", "text", F.col("s.code").alias("codes"), F.col("s.smaller").alias("smaller")), lengths)
     first = full.select("a", "b", "d").groupBy("a", "b").agg(F.min("d").alias("first"))
     again = full.where("tag is not null").join(first, ["a", "b"]).where("first < d")
     every = F.concat(F.array("place"), F.coalesce("more", F.expr("cast(array() as array<int>)")))
@@ -237,5 +241,5 @@ def dedup_substrings(docs: DataFrame, window: int = 50) -> DataFrame:
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow)
 
-    every = tagged(keyed(docs)).select("doc_id", "d", "tag", "text").join(places, ["d", "tag"], "left").join(copies(docs).withColumn("copy", F.lit(True)), ["d", "tag"], "left")
+    every = dealt(docs).join(places, ["d", "tag"], "left").join(copies(docs).withColumn("copy", F.lit(True)), ["d", "tag"], "left")
     return map_batches(every.select("doc_id", "text", "copy", "places"), run, struct_of(schema))

@@ -98,3 +98,38 @@ def test_null_and_largest_ids(spark):
     got = {(r.doc_id, r.n_words): r.n_removed for r in dedup_substrings(docs, 50).collect()}
     assert got[(5, 81)] == 0 and got[(2**63 - 1, 81)] == 80 and sum(d is None for d, _ in got) and all(v == 80 for (d, _), v in got.items() if d != 5)
     assert {(r.doc_id, r.n_repeated) for r in find_repeats(docs, 50).collect()} == {(None, 80), (2**63 - 1, 80), (5, 0)}
+
+
+@pytest.fixture
+def no_broadcasts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_texts_are_dealt_out_once(spark, tmp_path, no_broadcasts):
+    """Both the search and the result join the texts; all that the result shuffles stays well below twice what the texts take."""
+    random.seed(4)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join([f"{random.getrandbits(64):x}" for _ in range(400)] + passage), "k", 1) for i in range(300)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+
+    def stages():
+        context = spark.sparkContext._jsc.sc()
+        context.listenerBus().waitUntilEmpty()
+        none = spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+        listed = context.statusStore().stageList(None, False, False, none, spark._jvm.java.util.ArrayList())
+        return {(s.stageId(), s.attemptId()): s.shuffleWriteBytes() for s in (listed.apply(i) for i in range(listed.size()))}
+
+    def written(run):
+        before = stages()
+        run()
+        return sum(n for k, n in stages().items() if k not in before)
+
+    once = written(lambda: docs.repartition(4, "doc_id").write.format("noop").mode("overwrite").save())
+    got = []
+    result = dedup_substrings(docs)
+    in_all = written(lambda: got.extend(result.collect()))
+    assert {(r.doc_id, r.n_removed) for r in got} == {(i, 60 if i else 0) for i in range(300)}
+    assert once / 2 < in_all < 1.5 * once
